@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.clock import plus_seconds, plus_whole_seconds
 from ledgerline.functions.payload import json_or_default
 from ledgerline.functions.ranking import carry_last
-from ledgerline.session import use_checkpoints
+from ledgerline.session import stored
 
 # Ids of a new job's parameters are spaced so that jobs cannot collide; more parameters raise.
 PARAMETERS_PER_JOB = 1000
@@ -246,41 +246,32 @@ def apply_set_range(sets: DataFrame, commands: DataFrame, first_id: int = 0) ->
     round decides at least the earliest undecided transaction; a round is two shuffles of what is
     still undecided.
     """
-    use_checkpoints(sets.sparkSession)
     wanted = commands.groupBy("txn_id", "key", "item").agg(F.count(F.lit(1)).alias("_times"))
-    stored = sets.select("key", F.col("value").alias("item"))
-    failed = (
+    taken = sets.select("key", F.col("value").alias("item"))
+    failed = stored(
         wanted.where(F.col("_times") > 1)
         .select("txn_id")
-        .union(wanted.join(stored, ["key", "item"], "left_semi").select("txn_id"))
+        .union(wanted.join(taken, ["key", "item"], "left_semi").select("txn_id"))
         .distinct()
-        .checkpoint()
     )
-    open_items = wanted.select("txn_id", "key", "item").join(failed, "txn_id", "left_anti").checkpoint()
-    accepted = open_items.select("txn_id").limit(0)
-    while not open_items.isEmpty():
-        first = open_items.groupBy("key", "item").agg(F.min("txn_id").alias("_first"))
-        contested = open_items.join(first, ["key", "item"])
+    undecided = stored(wanted.select("txn_id", "key", "item").join(failed, "txn_id", "left_anti"))
+    accepted = undecided.select("txn_id").limit(0)
+    while not undecided.isEmpty():
+        first = undecided.groupBy("key", "item").agg(F.min("txn_id").alias("_first"))
         behind = F.col("txn_id") > F.col("_first")
         # Grouped by struct so that a huge transaction is combined before the shuffle.
-        winners = (
-            contested.groupBy(F.struct("txn_id").alias("_t"))
+        winners = stored(
+            undecided.join(first, ["key", "item"])
+            .groupBy(F.struct("txn_id").alias("_t"))
             .agg(F.max(behind).alias("_behind"))
             .where(~F.col("_behind"))
             .select("_t.txn_id")
-            .checkpoint()
         )
-        taken = open_items.join(winners, "txn_id", "left_semi").select("key", "item")
-        losers = (
-            open_items.join(winners, "txn_id", "left_anti")
-            .join(taken, ["key", "item"], "left_semi")
-            .select("txn_id")
-            .distinct()
-            .checkpoint()
-        )
-        accepted = accepted.union(winners)
-        failed = failed.union(losers)
-        open_items = open_items.join(winners.union(losers), "txn_id", "left_anti").checkpoint()
+        taken = undecided.join(winners, "txn_id", "left_semi").select("key", "item")
+        rest = undecided.join(winners, "txn_id", "left_anti")
+        losers = stored(rest.join(taken, ["key", "item"], "left_semi").select("txn_id").distinct())
+        accepted, failed = accepted.union(winners), failed.union(losers)
+        undecided = stored(rest.join(losers, "txn_id", "left_anti"))
     added = commands.join(accepted, "txn_id", "left_semi").select(
         (F.lit(first_id) + F.col("seq")).cast("bigint").alias("id"),
         "key",

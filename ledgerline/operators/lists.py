@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.ranking import BUCKET_WIDTH, carry_last, position_per_key
 from ledgerline.operators.apply import key_commands
-from ledgerline.session import use_checkpoints
+from ledgerline.session import stored
 
 # A list with at most this many rows and commands is folded in one row.
 FOLD_ROWS = 1000
-ROUNDS_PER_CHECKPOINT = 5
+ROUNDS_PER_WRITE = 5
 
 
 def _empty() -> Column:
@@ -53,14 +53,12 @@ def apply_list(
     if not checked["positional"]:
         alive = _without_removed(born, removes)
     else:
-        use_checkpoints(lists.sparkSession)
-        sizes = (
+        sizes = stored(
             born.select("key")
             .unionByName(commands.select("key"))
             .groupBy("key")
             .agg(F.count(F.lit(1)).alias("_rows"))
             .join(trims.where(~_empty()).select("key").distinct(), "key", "left_semi")
-            .checkpoint()
         )
         small = sizes.where(F.col("_rows") <= fold_rows).select("key")
         large = sizes.where(F.col("_rows") > fold_rows).select("key")
@@ -146,7 +144,7 @@ def _trim_in_rounds(born: DataFrame, removes: DataFrame, trims: DataFrame, width
     kept = born.where(~matchable).join(earliest, ["key", "value"], "left").select(*born.columns, "_removed")
     rows = kept.unionByName(later)
 
-    turns = position_per_key(trims, ["key"], "seq", width=width, name="_turn").checkpoint()
+    turns = stored(position_per_key(trims, ["key"], "seq", width=width, name="_turn"))
     last_turn = turns.agg(F.max("_turn")).first()[0]
     for turn in range(0 if last_turn is None else last_turn + 1):
         now = turns.where(F.col("_turn") == turn).select("key", F.col("seq").alias("_now"), "trim_from", "trim_to")
@@ -157,6 +155,6 @@ def _trim_in_rounds(born: DataFrame, removes: DataFrame, trims: DataFrame, width
         survivors = ranked.where(F.col("position").between(F.col("trim_from"), F.col("trim_to")))
         untouched = timed.where(F.col("_now").isNull() | (F.col("_born") > F.col("_now")))
         rows = untouched.select(*rows.columns).unionByName(survivors.select(*rows.columns))
-        if (turn + 1) % ROUNDS_PER_CHECKPOINT == 0:
-            rows = rows.checkpoint()
+        if (turn + 1) % ROUNDS_PER_WRITE == 0:
+            rows = stored(rows)
     return rows.where(F.col("_removed").isNull()).select(*born.columns)

@@ -199,17 +199,17 @@ FROM ll_server""",
 def _timeline_check(points: str, pattern: str) -> str:
     return f"""
 WITH points AS ({points}),
-labels AS (SELECT kind, at, 'stats:' || kind || ':' || strftime(at, '{pattern}') AS bucket_key
+labels AS (SELECT kind, "at", 'stats:' || kind || ':' || strftime("at", '{pattern}') AS bucket_key
            FROM points, (VALUES ('succeeded'), ('failed')) k(kind)),
-both AS (SELECT key, value FROM ll_counter UNION ALL SELECT key, value FROM ll_aggregatedcounter)
-SELECT l.kind, l.at, l.bucket_key, CAST(coalesce(sum(b.value), 0) AS BIGINT) AS n
-FROM labels l LEFT JOIN both b ON b.key = l.bucket_key GROUP BY l.kind, l.at, l.bucket_key"""
+sums AS (SELECT key, value FROM ll_counter UNION ALL SELECT key, value FROM ll_aggregatedcounter)
+SELECT l.kind, l."at", l.bucket_key, CAST(coalesce(sum(b.value), 0) AS BIGINT) AS n
+FROM labels l LEFT JOIN sums b ON b.key = l.bucket_key GROUP BY l.kind, l."at", l.bucket_key"""
 
 
 query(
     "daily_timeline",
     _timeline_check(
-        f"SELECT CAST(TIMESTAMP '{ASOF_EVENTS[:10]} 00:00:00' - i * INTERVAL '1' DAY AS TIMESTAMP) AS at FROM range(7) t(i)",
+        f"SELECT CAST(TIMESTAMP '{ASOF_EVENTS[:10]} 00:00:00' - i * INTERVAL '1' DAY AS TIMESTAMP) AS \"at\" FROM range(7) t(i)",
         "%Y-%m-%d",
     ),
 )(lambda ledger: monitor.daily_timeline(ledger["counter"], ledger["aggregatedcounter"], ASOF_EVENTS))
@@ -217,7 +217,7 @@ query(
 query(
     "hourly_timeline",
     _timeline_check(
-        f"SELECT CAST(TIMESTAMP '{ASOF_EVENTS}' - i * INTERVAL '1' HOUR AS TIMESTAMP) AS at FROM range(24) t(i)",
+        f"SELECT CAST(TIMESTAMP '{ASOF_EVENTS}' - i * INTERVAL '1' HOUR AS TIMESTAMP) AS \"at\" FROM range(24) t(i)",
         "%Y-%m-%d-%H",
     ),
 )(lambda ledger: monitor.hourly_timeline(ledger["counter"], ledger["aggregatedcounter"], ASOF_EVENTS))

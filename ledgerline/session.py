@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # State needs RocksDB for event-time timers; ledger times are UTC throughout.
 SETTINGS = {
@@ -47,7 +48,13 @@ def work_dir(spark: SparkSession) -> str:
     return folder
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable, keeping a folder the cluster has already set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_dir(spark))
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the work folder and read back.
+
+    Cuts the lineage of iterative operators. Unlike cached blocks the files outlive any executor,
+    and the planner knows their size.
+    """
+    spark = df.sparkSession
+    path = f"{work_dir(spark)}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

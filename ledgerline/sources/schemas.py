@@ -7,28 +7,75 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from ledgerline.functions.payload import json_or_default
 
-# The column names and types of the ledger tables.
-_DDL = {
-    "job": "id BIGINT NOT NULL, stateid BIGINT, statename STRING, invocationdata STRING NOT NULL, "
-    "arguments STRING NOT NULL, createdat TIMESTAMP_NTZ NOT NULL, expireat TIMESTAMP_NTZ",
-    "state": "id BIGINT NOT NULL, jobid BIGINT NOT NULL, name STRING NOT NULL, reason STRING, "
-    "createdat TIMESTAMP_NTZ NOT NULL, data STRING",
-    "jobparameter": "id BIGINT NOT NULL, jobid BIGINT NOT NULL, name STRING NOT NULL, value STRING",
-    "jobqueue": "id BIGINT NOT NULL, jobid BIGINT NOT NULL, queue STRING NOT NULL, fetchedat TIMESTAMP_NTZ, "
-    "updatecount INT NOT NULL",
-    "counter": "id BIGINT NOT NULL, key STRING NOT NULL, value BIGINT NOT NULL, expireat TIMESTAMP_NTZ",
-    "aggregatedcounter": "id BIGINT NOT NULL, key STRING NOT NULL, value BIGINT NOT NULL, expireat TIMESTAMP_NTZ",
-    "hash": "id BIGINT NOT NULL, key STRING NOT NULL, field STRING NOT NULL, value STRING, expireat TIMESTAMP_NTZ",
-    "list": "id BIGINT NOT NULL, key STRING NOT NULL, value STRING, expireat TIMESTAMP_NTZ",
-    "set": "id BIGINT NOT NULL, key STRING NOT NULL, score DOUBLE NOT NULL, value STRING NOT NULL, "
-    "expireat TIMESTAMP_NTZ",
-    "server": "id STRING NOT NULL, data STRING, lastheartbeat TIMESTAMP_NTZ NOT NULL",
+_LONG, _INT, _DOUBLE, _TEXT, _TIME = LongType(), IntegerType(), DoubleType(), StringType(), TimestampNTZType()
+
+
+def _table(*columns: tuple[str, DataType, bool]) -> StructType:
+    return StructType([StructField(name, kind, nullable) for name, kind, nullable in columns])
+
+
+# Name, type and nullability of the columns of the ledger tables. Times are UTC.
+_COUNTER = _table(("id", _LONG, False), ("key", _TEXT, False), ("value", _LONG, False), ("expireat", _TIME, True))
+SCHEMAS = {
+    "job": _table(
+        ("id", _LONG, False),
+        ("stateid", _LONG, True),
+        ("statename", _TEXT, True),
+        ("invocationdata", _TEXT, False),
+        ("arguments", _TEXT, False),
+        ("createdat", _TIME, False),
+        ("expireat", _TIME, True),
+    ),
+    "state": _table(
+        ("id", _LONG, False),
+        ("jobid", _LONG, False),
+        ("name", _TEXT, False),
+        ("reason", _TEXT, True),
+        ("createdat", _TIME, False),
+        ("data", _TEXT, True),
+    ),
+    "jobparameter": _table(
+        ("id", _LONG, False), ("jobid", _LONG, False), ("name", _TEXT, False), ("value", _TEXT, True)
+    ),
+    "jobqueue": _table(
+        ("id", _LONG, False),
+        ("jobid", _LONG, False),
+        ("queue", _TEXT, False),
+        ("fetchedat", _TIME, True),
+        ("updatecount", _INT, False),
+    ),
+    "counter": _COUNTER,
+    "aggregatedcounter": _COUNTER,
+    "hash": _table(
+        ("id", _LONG, False),
+        ("key", _TEXT, False),
+        ("field", _TEXT, False),
+        ("value", _TEXT, True),
+        ("expireat", _TIME, True),
+    ),
+    "list": _table(("id", _LONG, False), ("key", _TEXT, False), ("value", _TEXT, True), ("expireat", _TIME, True)),
+    "set": _table(
+        ("id", _LONG, False),
+        ("key", _TEXT, False),
+        ("score", _DOUBLE, False),
+        ("value", _TEXT, False),
+        ("expireat", _TIME, True),
+    ),
+    "server": _table(("id", _TEXT, False), ("data", _TEXT, True), ("lastheartbeat", _TIME, False)),
 }
-SCHEMAS = {table: StructType.fromDDL(ddl) for table, ddl in _DDL.items()}
 EXPIRING_TABLES = ("aggregatedcounter", "counter", "job", "list", "set", "hash")
 # What an absent or empty payload stands for.
 JSON_DEFAULTS = {
