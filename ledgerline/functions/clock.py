@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,3 +40,13 @@ def plus_seconds(ts: Column, seconds: Column) -> Column:
 def seconds_between(start: Column, end: Column) -> Column:
     """Seconds from ``start`` to ``end`` as a double."""
     return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1000000.0)
+
+
+def watermarked(stream: DataFrame, delay: str) -> DataFrame:
+    """``stream`` with its ``ts`` as event time (watermarks take zoned timestamps only)."""
+    return stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+
+
+def without_zone(ts: Column) -> Column:
+    """A zoned timestamp as its UTC time."""
+    return ts.cast("timestamp_ntz")

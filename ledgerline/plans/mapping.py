@@ -7,6 +7,7 @@ only. ``@name`` is a supplied table, ``{TS:...}`` a timestamp literal, ``{TSTYPE
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -260,7 +261,19 @@ class Ledger:
         sql = _SOURCE.sub(rf"parquet.`{self.folder}/\1.parquet`", sql)
         return self.spark.sql(_LITERAL.sub(r"TIMESTAMP_NTZ '\1'", sql).replace("{TSTYPE}", "TIMESTAMP_NTZ"))
 
+    def over(self, name: str, events: str) -> DataFrame:
+        """A view that reads only the events table, over another relation instead (here: a stream)."""
+        sql = _SOURCE.sub(events, _with_views(f"SELECT * FROM ll_{name}"))
+        return self.spark.sql(_LITERAL.sub(r"TIMESTAMP_NTZ '\1'", sql).replace("{TSTYPE}", "TIMESTAMP_NTZ"))
+
     def events_stream(self) -> DataFrame:
         """The events table as a stream of files."""
         schema = self.source("events").schema
         return self.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(self.folder)
+
+
+def stream_view(ledger: Ledger, name: str) -> DataFrame:
+    """A view over the events table, computed on the stream of events."""
+    relation = f"events_{uuid.uuid4().hex}"
+    ledger.events_stream().createTempView(relation)
+    return ledger.over(name, relation)

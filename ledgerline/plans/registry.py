@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.plans.mapping import Ledger, checking_sql
+from ledgerline.session import prepare
 
 Plan = Callable[[Ledger], DataFrame]
 
@@ -30,7 +31,11 @@ def query(name: str, check: str | None = None) -> Callable[[Plan], Plan]:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(plan: Plan) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: plan(Ledger(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            prepare(spark)
+            return plan(Ledger(spark, folder))
+
+        return run
 
     return {name: bind(plan) for name, plan in PLANS.items()}
 

@@ -32,6 +32,12 @@ def local_session(cpus: int = 8, memory: str = "8g", partitions: int | None = No
     return spark
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings that results depend on: UTC, and a state store with timers."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
+        spark.conf.set(key, SETTINGS[key])
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
