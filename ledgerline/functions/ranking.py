@@ -45,7 +45,7 @@ def position_per_key(
         rows.withColumn("_within", within)
         .join(offsets, [*keys, "_bucket"])
         .withColumn(name, F.col("_before") + F.col("_within") - F.lit(1))
-        .drop("_bucket", "_before", "_within")
+        .select(*df.columns, name)
     )
 
 
@@ -103,5 +103,5 @@ def carry_last(
         rows.withColumn("_within", within)
         .join(carried, [*keys, "_bucket"])
         .withColumn(name, F.coalesce("_within", "_carried"))
-        .drop("_bucket", "_value", "_within", "_carried")
+        .select(*df.columns, name)
     )

@@ -33,6 +33,11 @@ class _Timed(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("state", self.state_schema)
 
+    def overdue(self, timerValues) -> bool:
+        """Whether the timer is due in the batch at hand, whose rows come before its timers."""
+        watermark = timerValues.getCurrentWatermarkInMs()
+        return any(timer <= watermark for timer in self.handle.listTimers())
+
     def rearm(self, micros: int | None) -> None:
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
@@ -53,6 +58,7 @@ class LeaseMonitor(_Timed):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         turn_seq, turn, touch_seq, touch = self.state.get() if self.state.exists() else (-1, "", -1, -1)
+        out = self.expired(key, touch) if turn == "fetch" and self.overdue(timerValues) else pd.DataFrame()
         for chunk in rows:
             turns = chunk[chunk["op"].isin(["fetch", "requeue", "ack"])]
             if len(turns) and turns["seq"].max() > turn_seq:
@@ -65,12 +71,15 @@ class LeaseMonitor(_Timed):
         self.state.update((turn_seq, turn, touch_seq, touch))
         # A lease that has ended keeps its state one timeout more, for entries that arrive out of order.
         self.rearm(touch + self.timeout if touch_seq >= 0 else None)
-        yield pd.DataFrame()
+        yield out
+
+    def expired(self, key, touch: int) -> pd.DataFrame:
+        return pd.DataFrame({"id": [key[0]], "fetched": [touch], "expired": [touch + self.timeout]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         _, turn, _, touch = self.state.get()
         if turn == "fetch":
-            yield pd.DataFrame({"id": [key[0]], "fetched": [touch], "expired": [touch + self.timeout]})
+            yield self.expired(key, touch)
         else:
             self.state.clear()
             yield pd.DataFrame()
@@ -83,6 +92,7 @@ class ExpiryMonitor(_Timed):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         seq, deadline = self.state.get() if self.state.exists() else (-1, None)
+        out = self.expired(key, deadline) if self.overdue(timerValues) else pd.DataFrame()
         for chunk in rows:
             if chunk["seq"].max() > seq:
                 latest = chunk.loc[chunk["seq"].idxmax()]
@@ -90,12 +100,15 @@ class ExpiryMonitor(_Timed):
                 deadline = None if pd.isna(latest["deadline"]) else int(latest["deadline"])
         self.state.update((seq, deadline))
         self.rearm(deadline)
-        yield pd.DataFrame()
+        yield out
+
+    def expired(self, key, deadline: int) -> pd.DataFrame:
+        return pd.DataFrame({"key": [key[0]], "deadline": [deadline]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         _, deadline = self.state.get()
         self.state.clear()
-        yield pd.DataFrame({"key": [key[0]], "deadline": [deadline]})
+        yield self.expired(key, deadline)
 
 
 def _micros(column: str):
