@@ -57,25 +57,28 @@ def range_per_key(
     order: str = "id",
     descending: bool = False,
     width: int = BUCKET_WIDTH,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Rows at positions ``start..end`` (0-based, inclusive) of each key, with their ``position``."""
     if start < 0 or end - start + 1 < 0:
         raise ValueError("the range must start at 0 or later and must not have a negative length")
     if end < PRUNED_RANK:
         column = F.col(order).desc() if descending else F.col(order).asc()
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(column))
-        ranked = df.withColumn("_rank", rank).where((F.col("_rank") <= end + 1) & (F.col("_rank") > start))
-        return ranked.withColumn("position", (F.col("_rank") - 1).cast("bigint")).drop("_rank")
+        first = top_per_key(df, keys, [column], end + 1, order, few_keys).where(F.col("rank") > start)
+        return first.withColumn("position", (F.col("rank") - 1).cast("bigint")).drop("rank")
     return position_per_key(df, keys, order, descending, width).where(F.col("position").between(start, end))
 
 
-def top_per_key(df: DataFrame, keys: list[str], by: list[Column], n: int, spread: str = "id") -> DataFrame:
+def top_per_key(
+    df: DataFrame, keys: list[str], by: list[Column], n: int, spread: str = "id", few_keys: bool = False
+) -> DataFrame:
     """First ``n`` rows of each key in the order ``by``, with their 1-based ``rank``.
 
-    Beyond the pruning threshold the rows play a tournament: winners of salted sub-groups meet in
-    larger ones, so a hot key is cut down before its rows meet in one group.
+    Up to the pruning threshold every scan task sends at most ``n`` rows of a key. With few keys (queues,
+    states) all tasks send to the same few groups, and beyond the threshold nothing is pruned, so there
+    the rows play a tournament: winners of salted sub-groups meet in larger ones.
     """
-    salts = () if n <= PRUNED_RANK else TOURNAMENT_SALTS
+    salts = TOURNAMENT_SALTS if n > PRUNED_RANK else TOURNAMENT_SALTS[-1:] if few_keys else ()
     for salt in salts:
         sub = Window.partitionBy(*keys, F.pmod(F.xxhash64(spread), F.lit(salt))).orderBy(*by)
         df = df.withColumn("_rank", F.row_number().over(sub)).where(F.col("_rank") <= n).drop("_rank")

@@ -5,10 +5,8 @@ Every function takes a snapshot and commands and returns the next snapshot. New
 ``first_id + seq``, so ``first_id`` must lie above the ids in use.
 
 A key, an item or a job may own a large share of the log. Everything that can be combined before
-the shuffle is an aggregate; joins keep the log on the splittable side; and where an aggregate
-follows a join on (part of) its own keys it groups by ``struct(...)``, which keeps the planner from
-reusing the join's partitioning, so that hot keys are combined map-side and skewed join partitions
-may still be split at run time.
+the shuffle is an aggregate, joins keep the log on the side that can be split at run time, and an
+aggregate after a join on its own keys goes through ``group``.
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.clock import plus_seconds, plus_whole_seconds
 from ledgerline.functions.payload import json_or_default
 from ledgerline.functions.ranking import carry_last
+from ledgerline.operators.keys import group, merged
 from ledgerline.session import stored
 
 # Ids of a new job's parameters are spaced so that jobs cannot collide; more parameters raise.
@@ -128,13 +127,12 @@ def apply_job_parameters(
         .join(known, "jobid", "left_semi")
     )
     touched = F.col("_first").isNotNull()
-    merged = parameters.join(last, ["jobid", "name"], "full").select(
+    return merged(parameters, last, ["jobid", "name"]).select(
         F.coalesce("id", (F.lit(first_id) + F.col("_first")).cast("bigint")).alias("id"),
         "jobid",
         "name",
         F.when(touched, F.col("_value")).otherwise(F.col("value")).alias("value"),
-    )
-    return merged, rejects
+    ), rejects
 
 
 def apply_enqueue(jobqueue: DataFrame, commands: DataFrame, first_id: int = 0) -> DataFrame:
@@ -188,20 +186,22 @@ def _apply_items(snapshot: DataFrame, commands: DataFrame, item: str, payload: s
     by_item = commands.where(F.col("op") == "remove").groupBy("key", "item").agg(F.max("seq").alias("_item_kill"))
     killed = F.greatest("_key_kill", "_item_kill")
 
-    adds = (
+    live = (
         commands.where(F.col("op").isin("add", "add_score"))
         .select("seq", "key", "item", F.col(payload).alias("_payload"))
         .join(by_key, "key", "left")
         .join(by_item, ["key", "item"], "left")
         .where(killed.isNull() | (F.col("seq") > killed))
-        .groupBy(F.struct("key", "item").alias("_row"))
+    )
+    adds = (
+        group(live, "key", "item")
         .agg(
             F.min("seq").alias("_born"),
             F.max_by("_payload", "seq").alias("_payload"),
             F.first("_touch").alias("_add_touch"),
             F.first("_touch_at").alias("_add_touch_at"),
         )
-        .select("_row.key", "_row.item", "_born", "_payload", "_add_touch", "_add_touch_at")
+        .select("_by.key", "_by.item", "_born", "_payload", "_add_touch", "_add_touch_at")
     )
     kept = (
         snapshot.withColumnRenamed(item, "item")
@@ -223,7 +223,7 @@ def _apply_items(snapshot: DataFrame, commands: DataFrame, item: str, payload: s
         payload: F.when(added, F.col("_payload")).otherwise(F.col(payload)),
         "expireat": expireat,
     }
-    return kept.join(adds, ["key", "item"], "full").select(*[values[c].alias(c) for c in snapshot.columns])
+    return merged(kept, adds, ["key", "item"]).select(*[values[c].alias(c) for c in snapshot.columns])
 
 
 def apply_set(sets: DataFrame, commands: DataFrame, first_id: int = 0) -> DataFrame:
@@ -259,13 +259,9 @@ def apply_set_range(sets: DataFrame, commands: DataFrame, first_id: int = 0) ->
     while not undecided.isEmpty():
         first = undecided.groupBy("key", "item").agg(F.min("txn_id").alias("_first"))
         behind = F.col("txn_id") > F.col("_first")
-        # Grouped by struct so that a huge transaction is combined before the shuffle.
+        contested = undecided.join(first, ["key", "item"])
         winners = stored(
-            undecided.join(first, ["key", "item"])
-            .groupBy(F.struct("txn_id").alias("_t"))
-            .agg(F.max(behind).alias("_behind"))
-            .where(~F.col("_behind"))
-            .select("_t.txn_id")
+            contested.groupBy("txn_id").agg(F.max(behind).alias("_behind")).where(~F.col("_behind")).select("txn_id")
         )
         taken = undecided.join(winners, "txn_id", "left_semi").select("key", "item")
         rest = undecided.join(winners, "txn_id", "left_anti")
@@ -301,8 +297,7 @@ def apply_servers(server: DataFrame, commands: DataFrame) -> tuple[DataFrame, Da
     fresh = F.coalesce(F.col("_announced") > since, F.lit(False))
     stays = F.col("lastheartbeat").isNotNull() & F.col("_kill").isNull()
     heard = F.coalesce(F.col("_heard") > since, F.lit(False))
-    merged = server.join(latest, "id", "full").where(fresh | stays)
-    next_server = merged.select(
+    next_server = merged(server, latest, ["id"]).where(fresh | stays).select(
         "id",
         F.when(fresh, F.col("_data")).otherwise(F.col("data")).alias("data"),
         F.when(heard, F.col("_heard_at")).otherwise(F.col("lastheartbeat")).alias("lastheartbeat"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.clock import instant, seconds_between
 from ledgerline.functions.ranking import position_per_key, range_per_key, top_per_key
-from ledgerline.operators.keys import Keys, restrict, with_absent_keys
+from ledgerline.operators.keys import Keys, group, restrict, with_absent_keys
 
 NO_TTL = -1.0
 
@@ -31,7 +31,8 @@ def set_lowest(sets: DataFrame, from_score: float, to_score: float, keys: Keys =
     """The member with the lowest score in the range, per set; equal scores go by id."""
     _check_scores(from_score, to_score)
     scored = restrict(sets, "key", keys).where(F.col("score").between(from_score, to_score))
-    return scored.groupBy("key").agg(F.min_by("value", F.struct("score", "id")).alias("value"))
+    lowest = F.min_by("value", F.struct("score", "id"))
+    return group(scored, "key").agg(lowest.alias("value")).select("_by.key", "value")
 
 
 def set_lowest_n(sets: DataFrame, from_score: float, to_score: float, n: int, keys: Keys = None) -> DataFrame:
@@ -75,15 +76,15 @@ def trim_lists(lists: DataFrame, keep_from: int, keep_to: int, keys: Keys = None
 
 def key_counts(items: DataFrame, keys: Keys = None) -> DataFrame:
     """Number of rows per key of a set, list or hash table; 0 for an asked key without rows."""
-    counts = restrict(items, "key", keys).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    return with_absent_keys(counts, "key", keys, {"n": F.lit(0)})
+    counts = group(restrict(items, "key", keys), "key").agg(F.count(F.lit(1)).alias("n"))
+    return with_absent_keys(counts.select("_by.key", "n"), "key", keys, {"n": F.lit(0)})
 
 
 def key_ttl(items: DataFrame, asof: datetime | str, keys: Keys = None) -> DataFrame:
     """Seconds until the earliest expiry per key of a set, list or hash table; -1 if there is none."""
-    earliest = restrict(items, "key", keys).groupBy("key").agg(F.min("expireat").alias("_at"))
+    earliest = group(restrict(items, "key", keys), "key").agg(F.min("expireat").alias("_at"))
     ttl = earliest.select(
-        "key", F.coalesce(seconds_between(instant(asof), F.col("_at")), F.lit(NO_TTL)).alias("ttl_seconds")
+        "_by.key", F.coalesce(seconds_between(instant(asof), F.col("_at")), F.lit(NO_TTL)).alias("ttl_seconds")
     )
     return with_absent_keys(ttl, "key", keys, {"ttl_seconds": F.lit(NO_TTL)})
 
@@ -101,5 +102,5 @@ def hash_value(hashes: DataFrame, field: str, keys: Keys = None) -> DataFrame:
 def counter_value(counter: DataFrame, aggregated: DataFrame, keys: Keys = None) -> DataFrame:
     """Pending deltas plus the rolled-up value per counter; 0 for an asked key without rows."""
     both = counter.select("key", "value").unionByName(aggregated.select("key", "value"))
-    totals = restrict(both, "key", keys).groupBy("key").agg(F.sum("value").alias("value"))
-    return with_absent_keys(totals, "key", keys, {"value": F.lit(0).cast("bigint")})
+    totals = group(restrict(both, "key", keys), "key").agg(F.sum("value").alias("value"))
+    return with_absent_keys(totals.select("_by.key", "value"), "key", keys, {"value": F.lit(0).cast("bigint")})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 Keys = DataFrame | Sequence[str] | Sequence[int] | None
@@ -38,11 +38,32 @@ def with_absent_keys(result: DataFrame, column: str, keys: Keys, defaults: dict[
     )
 
 
+def group(df: DataFrame, *columns: str) -> GroupedData:
+    """Rows grouped by ``_by``, a struct of the columns.
+
+    For an aggregate after a join on (some of) its own keys. Grouped by the plain columns it would
+    reuse the join's partitioning: a hot key would be aggregated in one task, and its join partition
+    could not be split. The struct makes the planner combine map-side and shuffle the partial results.
+    """
+    return df.groupBy(F.struct(*columns).alias("_by"))
+
+
 def bounded(page: DataFrame, rows: int | None) -> DataFrame:
     """``page`` with a broadcast hint when its limit proves it small; otherwise the planner decides."""
     return F.broadcast(page) if rows is not None and rows <= BROADCAST_ROWS else page
 
 
+def merged(snapshot: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """Snapshot rows with the change of their key beside them, and the changes of new keys.
+
+    ``keys`` identify a row of ``changes``. A full outer join would shuffle the whole snapshot whatever
+    the number of changes; here few changes are broadcast to it, and only keys meet in the second join.
+    """
+    touched = snapshot.select(*keys).join(changes.select(*keys), keys, "left_semi")
+    new = changes.join(touched, keys, "left_anti")
+    return snapshot.join(changes, keys, "left").unionByName(new, allowMissingColumns=True)
+
+
 def check_page(offset: int, limit: int) -> None:
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must not be negative")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.clock import as_datetime, instant
+from ledgerline.operators.keys import merged
 from ledgerline.sources.schemas import EXPIRING_TABLES
 
 # The counters that compaction looks after.
@@ -26,9 +27,8 @@ def counter_rollup(counter: DataFrame, aggregated: DataFrame) -> tuple[DataFrame
     deltas = counter.groupBy("key").agg(
         F.min("id").alias("_id"), F.sum("value").alias("_value"), F.max("expireat").alias("_expireat")
     )
-    merged = aggregated.join(deltas, "key", "full")
     fresh = F.col("_id").isNotNull()
-    rolled = merged.select(
+    rolled = merged(aggregated, deltas, ["key"]).select(
         F.coalesce("id", "_id").alias("id"),
         "key",
         (F.coalesce("value", F.lit(0)) + F.coalesce("_value", F.lit(0))).alias("value"),

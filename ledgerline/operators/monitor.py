@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.clock import as_datetime
 from ledgerline.functions.payload import SERVER_PAYLOAD, state_fields, utc_time, whole_number
 from ledgerline.functions.ranking import range_per_key
-from ledgerline.operators.keys import Keys, bounded, check_page, restrict
+from ledgerline.operators.keys import Keys, bounded, check_page, group, restrict
 
 # State names, counter keys and the key of the recurring-job set.
 STATE_NAMES = ("Enqueued", "Scheduled", "Processing", "Succeeded", "Failed", "Deleted")
@@ -37,8 +37,9 @@ def jobs_by_state(job: DataFrame) -> DataFrame:
 def with_current_state(page: DataFrame, state: DataFrame, rows: int | None = None) -> DataFrame:
     """``page`` with name, reason and data of the state its ``stateid`` points at (NULL when missing).
 
-    The state history is the large side, so it is cut down by a semi join before the outer join:
-    with a bounded page both joins are broadcasts and no history row is shuffled.
+    The state history is the large side, so it is cut down by a semi join with the page's ids, which
+    are broadcast when the page is bounded, before the outer join. Payloads may be of any width, so
+    they are never broadcast by hint.
     """
     wanted = bounded(page.where(F.col("stateid").isNotNull()).select(F.col("stateid").alias("id")), rows)
     current = (
@@ -51,7 +52,7 @@ def with_current_state(page: DataFrame, state: DataFrame, rows: int | None = Non
             F.col("data").alias("state_data"),
         )
     )
-    return page.join(bounded(current, rows), "stateid", "left")
+    return page.join(current, "stateid", "left")
 
 
 def jobs_in_state(job: DataFrame, state: DataFrame, name: str, offset: int, limit: int) -> DataFrame:
@@ -139,7 +140,7 @@ def jobs_page_per_state(job: DataFrame, state: DataFrame, offset: int, limit: in
     """The same page of every state at once."""
     check_page(offset, limit)
     live = job.where(F.col("statename").isNotNull()).select(*_JOB_COLUMNS)
-    page = range_per_key(live, ["statename"], offset, offset + limit - 1, descending=True)
+    page = range_per_key(live, ["statename"], offset, offset + limit - 1, descending=True, few_keys=True)
     return with_current_state(page, state).select(
         "statename",
         "position",
@@ -158,10 +159,10 @@ def job_details(job: DataFrame, parameters: DataFrame, state: DataFrame, ids: Ke
 
     ``section`` is 'job', 'parameter' or 'state'; a job's history reads newest first by descending
     ``state_id``. Facts stay rows, so a job with a huge history is spread like any other data.
-    A parameter stored twice shows its newest value. Unknown ids give no rows.
+    A parameter stored twice shows its newest value. Unknown ids give no rows: states and parameters
+    reference their job, so none of theirs is stored and no existence join is needed.
     """
     jobs = restrict(job, "id", ids)
-    known = jobs.select(F.col("id").alias("jobid"))
     none, when = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
     no_id = F.lit(None).cast("bigint")
     head = jobs.select(
@@ -175,34 +176,28 @@ def job_details(job: DataFrame, parameters: DataFrame, state: DataFrame, ids: Ke
         F.col("expireat").alias("expire_at"),
     )
     properties = (
-        restrict(parameters, "jobid", ids)
-        .join(known, "jobid", "left_semi")
-        .groupBy("jobid", "name")
+        group(restrict(parameters, "jobid", ids), "jobid", "name")
         .agg(F.max_by("value", "id").alias("value"))
         .select(
-            F.col("jobid").alias("job_id"),
+            F.col("_by.jobid").alias("job_id"),
             F.lit("parameter").alias("section"),
             no_id.alias("state_id"),
-            "name",
+            "_by.name",
             none.alias("reason"),
             "value",
             when.alias("at"),
             when.alias("expire_at"),
         )
     )
-    history = (
-        restrict(state, "jobid", ids)
-        .join(known, "jobid", "left_semi")
-        .select(
-            F.col("jobid").alias("job_id"),
-            F.lit("state").alias("section"),
-            F.col("id").alias("state_id"),
-            "name",
-            "reason",
-            F.col("data").alias("value"),
-            F.col("createdat").alias("at"),
-            when.alias("expire_at"),
-        )
+    history = restrict(state, "jobid", ids).select(
+        F.col("jobid").alias("job_id"),
+        F.lit("state").alias("section"),
+        F.col("id").alias("state_id"),
+        "name",
+        "reason",
+        F.col("data").alias("value"),
+        F.col("createdat").alias("at"),
+        when.alias("expire_at"),
     )
     return head.unionByName(properties).unionByName(history)
 
@@ -230,7 +225,7 @@ def job_parameters(parameters: DataFrame, names: list[str], ids: Keys = None) ->
         raise ValueError("at least one parameter name is needed")
     newest = [F.max_by("value", F.when(F.col("name") == n, F.col("id"))).alias(n) for n in names]
     chosen = restrict(parameters, "jobid", ids).where(F.col("name").isin(names))
-    return chosen.groupBy(F.col("jobid").alias("job_id")).agg(*newest)
+    return group(chosen, "jobid").agg(*newest).select(F.col("_by.jobid").alias("job_id"), *names)
 
 
 def statistics(

@@ -38,17 +38,15 @@ def queue_counts(jobqueue: DataFrame) -> DataFrame:
     )
 
 
-def _live_ids(jobqueue: DataFrame, job: DataFrame, fetched: bool) -> DataFrame:
-    """Distinct (queue, id) of waiting or leased rows whose job exists."""
-    wanted = F.col("fetchedat").isNotNull() if fetched else F.col("fetchedat").isNull()
-    rows = jobqueue.where(wanted).select("queue", F.col("jobid").alias("id"))
-    return rows.join(job.select("id"), "id", "left_semi").distinct()
-
-
 def _id_page(jobqueue: DataFrame, job: DataFrame, queue: str, fetched: bool, offset: int, limit: int) -> DataFrame:
+    """Page of distinct ids of waiting or leased rows whose job exists, lowest first.
+
+    Made distinct before the join, so a job queued many times is combined map-side.
+    """
     check_page(offset, limit)
-    ids = _live_ids(jobqueue.where(F.col("queue") == queue), job, fetched)
-    return ids.select("id").orderBy("id").offset(offset).limit(limit)
+    wanted = F.col("fetchedat").isNotNull() if fetched else F.col("fetchedat").isNull()
+    ids = jobqueue.where((F.col("queue") == queue) & wanted).select(F.col("jobid").alias("id")).distinct()
+    return ids.join(job.select("id"), "id", "left_semi").orderBy("id").offset(offset).limit(limit)
 
 
 def enqueued_job_ids(jobqueue: DataFrame, job: DataFrame, queue: str, offset: int, limit: int) -> DataFrame:
@@ -111,7 +109,7 @@ def queue_overview(jobqueue: DataFrame, job: DataFrame, state: DataFrame, first:
     """
     waiting = jobqueue.where(F.col("fetchedat").isNull()).select("queue", F.col("jobid").alias("id")).distinct()
     live = waiting.join(job.select("id", "stateid"), "id")
-    firsts = with_current_state(top_per_key(live, ["queue"], [F.col("id")], first), state).select(
+    firsts = with_current_state(top_per_key(live, ["queue"], [F.col("id")], first, few_keys=True), state).select(
         "queue",
         F.col("rank").cast("bigint").alias("rank"),
         F.col("id").alias("job_id"),
@@ -154,7 +152,7 @@ def claim_per_queue(
     if workers < 1:
         raise ValueError("at least one worker is needed")
     free = claimable(jobqueue, names, timeout, asof)
-    return _stamped(top_per_key(free, ["queue"], claim_order(), workers).withColumnRenamed("rank", "slot"), asof)
+    return _stamped(top_per_key(free, ["queue"], claim_order(), workers, few_keys=True).withColumnRenamed("rank", "slot"), asof)
 
 
 def _stamped(claims: DataFrame, asof: datetime | str) -> DataFrame:

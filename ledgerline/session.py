@@ -23,6 +23,7 @@ def local_session(cpus: int = 8, memory: str = "8g", partitions: int | None = No
         .appName("ledgerline")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions or cpus))
     )
     for key, value in SETTINGS.items():

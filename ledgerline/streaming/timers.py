@@ -25,7 +25,10 @@ def _millis_after(micros: int) -> int:
 
 
 class _Timed(StatefulProcessor):
-    """Keeps one value state and at most one timer."""
+    """Keeps one value state, whose last field is the time of its only timer (0 = none).
+
+    Every call on the handle is a round trip to the JVM, so timers are touched only when they move.
+    """
 
     state_schema = ""
 
@@ -33,16 +36,19 @@ class _Timed(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("state", self.state_schema)
 
-    def overdue(self, timerValues) -> bool:
+    @staticmethod
+    def overdue(timer: int, timerValues) -> bool:
         """Whether the timer is due in the batch at hand, whose rows come before its timers."""
-        watermark = timerValues.getCurrentWatermarkInMs()
-        return any(timer <= watermark for timer in self.handle.listTimers())
+        return 0 < timer <= timerValues.getCurrentWatermarkInMs()
 
-    def rearm(self, micros: int | None) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if micros is not None:
-            self.handle.registerTimer(_millis_after(micros))
+    def rearm(self, timer: int, micros: int | None) -> int:
+        wanted = 0 if micros is None else _millis_after(micros)
+        if wanted != timer:
+            if timer:
+                self.handle.deleteTimer(timer)
+            if wanted:
+                self.handle.registerTimer(wanted)
+        return wanted
 
     def close(self) -> None:
         pass
@@ -51,14 +57,14 @@ class _Timed(StatefulProcessor):
 class LeaseMonitor(_Timed):
     """Emits a queue row when its lease runs out. Input: seq, id, micros, op."""
 
-    state_schema = "turn_seq LONG, turn STRING, touch_seq LONG, touch LONG"
+    state_schema = "turn_seq LONG, turn STRING, touch_seq LONG, touch LONG, timer LONG"
 
     def __init__(self, timeout_micros: int):
         self.timeout = timeout_micros
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        turn_seq, turn, touch_seq, touch = self.state.get() if self.state.exists() else (-1, "", -1, -1)
-        out = self.expired(key, touch) if turn == "fetch" and self.overdue(timerValues) else pd.DataFrame()
+        turn_seq, turn, touch_seq, touch, timer = self.state.get() or (-1, "", -1, -1, 0)
+        out = self.expired(key, touch) if turn == "fetch" and self.overdue(timer, timerValues) else pd.DataFrame()
         for chunk in rows:
             turns = chunk[chunk["op"].isin(["fetch", "requeue", "ack"])]
             if len(turns) and turns["seq"].max() > turn_seq:
@@ -68,17 +74,19 @@ class LeaseMonitor(_Timed):
             if len(touches) and touches["seq"].max() > touch_seq:
                 latest = touches.loc[touches["seq"].idxmax()]
                 touch_seq, touch = int(latest["seq"]), int(latest["micros"])
-        self.state.update((turn_seq, turn, touch_seq, touch))
-        # A lease that has ended keeps its state one timeout more, for entries that arrive out of order.
-        self.rearm(touch + self.timeout if touch_seq >= 0 else None)
+        # A lease that has ended keeps its state until then too, for entries that arrive out of order.
+        timer = self.rearm(timer, touch + self.timeout if touch_seq >= 0 else None)
+        self.state.update((turn_seq, turn, touch_seq, touch, timer))
         yield out
 
     def expired(self, key, touch: int) -> pd.DataFrame:
         return pd.DataFrame({"id": [key[0]], "fetched": [touch], "expired": [touch + self.timeout]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        _, turn, _, touch = self.state.get()
+        turn_seq, turn, touch_seq, touch, _ = self.state.get()
         if turn == "fetch":
+            # The holder may still keep the lease alive, so the state stays.
+            self.state.update((turn_seq, turn, touch_seq, touch, 0))
             yield self.expired(key, touch)
         else:
             self.state.clear()
@@ -88,25 +96,24 @@ class LeaseMonitor(_Timed):
 class ExpiryMonitor(_Timed):
     """Emits a key's tombstone when it expires. Input: seq, key, deadline (NULL = never)."""
 
-    state_schema = "seq LONG, deadline LONG"
+    state_schema = "seq LONG, deadline LONG, timer LONG"
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seq, deadline = self.state.get() if self.state.exists() else (-1, None)
-        out = self.expired(key, deadline) if self.overdue(timerValues) else pd.DataFrame()
+        seq, deadline, timer = self.state.get() or (-1, None, 0)
+        out = self.expired(key, deadline) if self.overdue(timer, timerValues) else pd.DataFrame()
         for chunk in rows:
             if chunk["seq"].max() > seq:
                 latest = chunk.loc[chunk["seq"].idxmax()]
                 seq = int(latest["seq"])
                 deadline = None if pd.isna(latest["deadline"]) else int(latest["deadline"])
-        self.state.update((seq, deadline))
-        self.rearm(deadline)
+        self.state.update((seq, deadline, self.rearm(timer, deadline)))
         yield out
 
     def expired(self, key, deadline: int) -> pd.DataFrame:
         return pd.DataFrame({"key": [key[0]], "deadline": [deadline]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        _, deadline = self.state.get()
+        _, deadline, _ = self.state.get()
         self.state.clear()
         yield self.expired(key, deadline)
 
