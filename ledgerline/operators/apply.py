@@ -38,7 +38,7 @@ def reject_unknown_jobs(commands: DataFrame, job: DataFrame) -> tuple[DataFrame,
     """
     known = job.select(F.col("id").alias("jobid"))
     rejects = commands.where(F.col("op").isin("set_state", "add_state")).join(known, "jobid", "left_anti")
-    void = rejects.select("txn_id").distinct()
+    void = group(rejects, "txn_id").agg(F.count(F.lit(1))).select("_by.txn_id")
     return commands.join(void, "txn_id", "left_anti"), rejects.select(*commands.columns)
 
 
@@ -166,13 +166,13 @@ def key_commands(commands: DataFrame, removal: Column) -> DataFrame:
     """Per key: its last whole-key removal and its last expire / persist with the expiry it set."""
     touch = F.col("op").isin("expire", "persist")
     return (
-        commands.where(removal | touch)
-        .groupBy("key")
+        group(commands.where(removal | touch), "key")
         .agg(
             F.max(F.when(removal, F.col("seq"))).alias("_key_kill"),
             F.max(F.when(touch, F.col("seq"))).alias("_touch"),
             F.max_by("expire_at", F.when(touch, F.col("seq"))).alias("_touch_at"),
         )
+        .select("_by.key", "_key_kill", "_touch", "_touch_at")
     )
 
 
@@ -183,7 +183,8 @@ def _apply_items(snapshot: DataFrame, commands: DataFrame, item: str, payload: s
     that reach it are those since it was (re)created; an upsert changes the payload only.
     """
     by_key = key_commands(commands, F.col("op") == "remove_key")
-    by_item = commands.where(F.col("op") == "remove").groupBy("key", "item").agg(F.max("seq").alias("_item_kill"))
+    removes = commands.where(F.col("op") == "remove")
+    by_item = group(removes, "key", "item").agg(F.max("seq").alias("_item_kill")).select("_by.*", "_item_kill")
     killed = F.greatest("_key_kill", "_item_kill")
 
     live = (
@@ -203,27 +204,21 @@ def _apply_items(snapshot: DataFrame, commands: DataFrame, item: str, payload: s
         )
         .select("_by.key", "_by.item", "_born", "_payload", "_add_touch", "_add_touch_at")
     )
-    kept = (
-        snapshot.withColumnRenamed(item, "item")
-        .join(by_key, "key", "left")
-        .join(by_item, ["key", "item"], "left")
-        .where(killed.isNull())
-        .drop("_key_kill", "_item_kill")
-    )
-    old, added = F.col("id").isNotNull(), F.col("_born").isNotNull()
-    expireat = (
-        F.when(old & F.col("_touch").isNotNull(), F.col("_touch_at"))
-        .when(old, F.col("expireat"))
-        .when(F.col("_add_touch") > F.col("_born"), F.col("_add_touch_at"))
-    )
+    base = snapshot.withColumnRenamed(item, "item")
+    extended = base.join(by_key, "key", "left").join(by_item, ["key", "item"], "left")
+    rows = merged(base, adds, ["key", "item"], extended)
+    kept = F.col("id").isNotNull() & killed.isNull()
+    added = F.col("_born").isNotNull()
+    since = F.when(kept, F.lit(-1)).otherwise(F.col("_born"))
+    reached = F.coalesce("_touch", "_add_touch") > since
     values = {
-        "id": F.coalesce("id", (F.lit(first_id) + F.col("_born")).cast("bigint")),
+        "id": F.when(kept, F.col("id")).otherwise((F.lit(first_id) + F.col("_born")).cast("bigint")),
         "key": F.col("key"),
         item: F.col("item"),
         payload: F.when(added, F.col("_payload")).otherwise(F.col(payload)),
-        "expireat": expireat,
+        "expireat": F.when(reached, F.coalesce("_touch_at", "_add_touch_at")).when(kept, F.col("expireat")),
     }
-    return merged(kept, adds, ["key", "item"]).select(*[values[c].alias(c) for c in snapshot.columns])
+    return rows.where(kept | added).select(*[values[c].alias(c) for c in snapshot.columns])
 
 
 def apply_set(sets: DataFrame, commands: DataFrame, first_id: int = 0) -> DataFrame:
@@ -257,7 +252,7 @@ def apply_set_range(sets: DataFrame, commands: DataFrame, first_id: int = 0) ->
     undecided = stored(wanted.select("txn_id", "key", "item").join(failed, "txn_id", "left_anti"))
     accepted = undecided.select("txn_id").limit(0)
     while not undecided.isEmpty():
-        first = undecided.groupBy("key", "item").agg(F.min("txn_id").alias("_first"))
+        first = group(undecided, "key", "item").agg(F.min("txn_id").alias("_first")).select("_by.*", "_first")
         behind = F.col("txn_id") > F.col("_first")
         contested = undecided.join(first, ["key", "item"])
         winners = stored(

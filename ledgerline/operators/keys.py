@@ -39,11 +39,12 @@ def with_absent_keys(result: DataFrame, column: str, keys: Keys, defaults: dict[
 
 
 def group(df: DataFrame, *columns: str) -> GroupedData:
-    """Rows grouped by ``_by``, a struct of the columns.
+    """Rows grouped by ``_by``, a struct of the columns, for aggregates next to a join on the same keys.
 
-    For an aggregate after a join on (some of) its own keys. Grouped by the plain columns it would
-    reuse the join's partitioning: a hot key would be aggregated in one task, and its join partition
-    could not be split. The struct makes the planner combine map-side and shuffle the partial results.
+    Grouped by the plain columns, aggregate and join would share one partitioning. After a join a hot
+    key would then be aggregated in one task instead of being combined map-side, and on either side of
+    it the partitions of the join could not be split at run time, which needs a shuffle of its own
+    directly below each input. The struct keeps the two apart for one shuffle of aggregated rows.
     """
     return df.groupBy(F.struct(*columns).alias("_by"))
 
@@ -53,15 +54,17 @@ def bounded(page: DataFrame, rows: int | None) -> DataFrame:
     return F.broadcast(page) if rows is not None and rows <= BROADCAST_ROWS else page
 
 
-def merged(snapshot: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+def merged(snapshot: DataFrame, changes: DataFrame, keys: list[str], extended: DataFrame | None = None) -> DataFrame:
     """Snapshot rows with the change of their key beside them, and the changes of new keys.
 
     ``keys`` identify a row of ``changes``. A full outer join would shuffle the whole snapshot whatever
     the number of changes; here few changes are broadcast to it, and only keys meet in the second join.
+    ``extended`` is the snapshot with columns joined to it, which need not be computed for the keys.
     """
     touched = snapshot.select(*keys).join(changes.select(*keys), keys, "left_semi")
     new = changes.join(touched, keys, "left_anti")
-    return snapshot.join(changes, keys, "left").unionByName(new, allowMissingColumns=True)
+    rows = snapshot if extended is None else extended
+    return rows.join(changes, keys, "left").unionByName(new, allowMissingColumns=True)
 
 
 def check_page(offset: int, limit: int) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.ranking import BUCKET_WIDTH, carry_last, position_per_key
 from ledgerline.operators.apply import key_commands
+from ledgerline.operators.keys import group
 from ledgerline.session import stored
 
 # A list with at most this many rows and commands is folded in one row.
@@ -78,7 +79,7 @@ def apply_list(
 
 def _without_removed(born: DataFrame, removes: DataFrame) -> DataFrame:
     """Rows with no later removal of their value."""
-    last = removes.groupBy("key", "value").agg(F.max("seq").alias("_removed"))
+    last = group(removes, "key", "value").agg(F.max("seq").alias("_removed")).select("_by.*", "_removed")
     joined = born.join(last, ["key", "value"], "left")
     return joined.where(F.col("_removed").isNull() | (F.col("_born") > F.col("_removed"))).select(*born.columns)
 
@@ -140,7 +141,7 @@ def _trim_in_rounds(born: DataFrame, removes: DataFrame, trims: DataFrame, width
         .where(F.col("id").isNotNull())
         .select(*born.columns, "_removed")
     )
-    earliest = removes.groupBy("key", "value").agg(F.min("seq").alias("_removed"))
+    earliest = group(removes, "key", "value").agg(F.min("seq").alias("_removed")).select("_by.*", "_removed")
     kept = born.where(~matchable).join(earliest, ["key", "value"], "left").select(*born.columns, "_removed")
     rows = kept.unionByName(later)
 
