@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 from ledgerline.functions.ranking import BUCKET_WIDTH, carry_last, position_per_key
 from ledgerline.operators.apply import key_commands
 from ledgerline.operators.keys import group
-from ledgerline.session import stored
+from ledgerline.session import new_folder, stored
 
 # A list with at most this many rows and commands is folded in one row.
 FOLD_ROWS = 1000
-ROUNDS_PER_WRITE = 5
 
 
 def _empty() -> Column:
@@ -147,15 +146,20 @@ def _trim_in_rounds(born: DataFrame, removes: DataFrame, trims: DataFrame, width
 
     turns = stored(position_per_key(trims, ["key"], "seq", width=width, name="_turn"))
     last_turn = turns.agg(F.max("_turn")).first()[0]
-    for turn in range(0 if last_turn is None else last_turn + 1):
+    if last_turn is None:
+        return born.limit(0)
+    # A list leaves the rounds after its last trim, so every round rewrites only those still in it.
+    finished = new_folder(born.sparkSession)
+    rows = stored(rows)
+    for turn in range(last_turn + 1):
         now = turns.where(F.col("_turn") == turn).select("key", F.col("seq").alias("_now"), "trim_from", "trim_to")
-        timed = rows.join(now, "key", "left")
-        present = F.col("_now").isNotNull() & (F.col("_born") < F.col("_now"))
-        gone = F.coalesce(F.col("_removed") < F.col("_now"), F.lit(False))
-        ranked = position_per_key(timed.where(present & ~gone), ["key"], "id", width=width)
-        survivors = ranked.where(F.col("position").between(F.col("trim_from"), F.col("trim_to")))
-        untouched = timed.where(F.col("_now").isNull() | (F.col("_born") > F.col("_now")))
-        rows = untouched.select(*rows.columns).unionByName(survivors.select(*rows.columns))
-        if (turn + 1) % ROUNDS_PER_WRITE == 0:
-            rows = stored(rows)
-    return rows.where(F.col("_removed").isNull()).select(*born.columns)
+        rows.join(now, "key", "left_anti").write.mode("append").parquet(finished)
+        timed = rows.join(now, "key")
+        later = timed.where(F.col("_born") > F.col("_now")).select(*rows.columns)
+        present = timed.where((F.col("_born") < F.col("_now")) & ~F.coalesce(F.col("_removed") < F.col("_now"), F.lit(False)))
+        ranked = position_per_key(present, ["key"], "id", width=width)
+        survivors = ranked.where(F.col("position").between(F.col("trim_from"), F.col("trim_to"))).select(*rows.columns)
+        rows = stored(later.unionByName(survivors))
+    rows.write.mode("append").parquet(finished)
+    settled = born.sparkSession.read.schema(rows.schema).parquet(finished)
+    return settled.where(F.col("_removed").isNull()).select(*born.columns)

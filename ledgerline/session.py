@@ -55,13 +55,17 @@ def work_dir(spark: SparkSession) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A fresh folder name under the work folder."""
+    return f"{work_dir(spark)}/stored/{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the work folder and read back.
 
     Cuts the lineage of iterative operators. Unlike cached blocks the files outlive any executor,
     and the planner knows their size.
     """
-    spark = df.sparkSession
-    path = f"{work_dir(spark)}/stored/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
