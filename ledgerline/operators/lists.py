@@ -64,8 +64,10 @@ def apply_list(
         large = sizes.where(F.col("_rows") > fold_rows).select("key")
         untrimmed = _without_removed(born.join(sizes.select("key"), "key", "left_anti"), removes)
         folded = _fold_in_rows(*[df.join(small, "key", "left_semi") for df in (born, removes, trims)])
-        trimmed = _trim_in_rounds(*[df.join(large, "key", "left_semi") for df in (born, removes, trims)], width)
-        alive = untrimmed.unionByName(folded).unionByName(trimmed)
+        alive = untrimmed.unionByName(folded)
+        if not large.isEmpty():
+            parts = [df.join(large, "key", "left_semi") for df in (born, removes, trims)]
+            alive = alive.unionByName(_trim_in_rounds(*parts, width))
 
     reached = F.col("_touch") > F.col("_born")
     return (
@@ -146,8 +148,6 @@ def _trim_in_rounds(born: DataFrame, removes: DataFrame, trims: DataFrame, width
 
     turns = stored(position_per_key(trims, ["key"], "seq", width=width, name="_turn"))
     last_turn = turns.agg(F.max("_turn")).first()[0]
-    if last_turn is None:
-        return born.limit(0)
     # A list leaves the rounds after its last trim, so every round rewrites only those still in it.
     finished = new_folder(born.sparkSession)
     rows = stored(rows)

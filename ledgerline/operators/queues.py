@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.clock import as_datetime, instant, seconds_between, whole_seconds
 from ledgerline.functions.payload import state_fields, utc_time
 from ledgerline.functions.ranking import top_per_key
-from ledgerline.operators.keys import bounded, check_page
+from ledgerline.operators.keys import bounded, check_page, restrict, with_absent_keys
 from ledgerline.operators.monitor import with_current_state
 
 # Fixed value: the update counter of a queue row wraps here.
@@ -30,12 +30,20 @@ def queues_of_sources(jobqueue: DataFrame) -> DataFrame:
     return jobqueue.select("source", "queue").distinct()
 
 
-def queue_counts(jobqueue: DataFrame) -> DataFrame:
-    """Waiting and leased rows per queue, duplicates and rows of purged jobs included."""
-    return jobqueue.groupBy("queue").agg(
-        F.count_if(F.col("fetchedat").isNull()).alias("enqueued"),
-        F.count_if(F.col("fetchedat").isNotNull()).alias("fetched"),
+def queue_counts(jobqueue: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Waiting and leased rows per queue, duplicates and rows of purged jobs included.
+
+    An asked queue without rows counts 0 and 0.
+    """
+    counts = (
+        restrict(jobqueue, "queue", names)
+        .groupBy("queue")
+        .agg(
+            F.count_if(F.col("fetchedat").isNull()).alias("enqueued"),
+            F.count_if(F.col("fetchedat").isNotNull()).alias("fetched"),
+        )
     )
+    return with_absent_keys(counts, "queue", names, {"enqueued": F.lit(0), "fetched": F.lit(0)})
 
 
 def _id_page(jobqueue: DataFrame, job: DataFrame, queue: str, fetched: bool, offset: int, limit: int) -> DataFrame:

@@ -267,9 +267,10 @@ class Ledger:
         return self.spark.sql(_LITERAL.sub(r"TIMESTAMP_NTZ '\1'", sql).replace("{TSTYPE}", "TIMESTAMP_NTZ"))
 
     def events_stream(self) -> DataFrame:
-        """The events table as a stream of files."""
+        """The events table as a stream of files, whether it is one file or a folder of them."""
         schema = self.source("events").schema
-        return self.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(self.folder)
+        # Only a pattern may stand for a single file.
+        return self.spark.readStream.schema(schema).parquet(f"{self.folder}/events.parque[t]")
 
 
 def stream_view(ledger: Ledger, name: str) -> DataFrame:

@@ -64,6 +64,17 @@ class SnapshotStore:
             raise RuntimeError(f"version {version} was published by another writer") from error
         return version
 
+    def drop_before(self, version: int) -> None:
+        """Remove published versions below ``version``; their markers go first, so no reader finds a gap."""
+        folder = self._path(f"{self.root}/commits")
+        if not self._fs.exists(folder):
+            return
+        names = [entry.getPath().getName() for entry in self._fs.listStatus(folder)]
+        for old in sorted(int(name) for name in names if name.isdigit()):
+            if old < min(version, self.current()):
+                self._fs.delete(self._marker(old), False)
+                self._fs.delete(self._path(f"{self.root}/data/{old}"), True)
+
     def read(self, name: str, version: int | None = None) -> DataFrame:
         """One table of a published version (default: the newest)."""
         if version is None:

@@ -186,12 +186,12 @@ def test_range_insert_chain_settles_in_order(frame):
     assert sorted(r.txn_id for r in failed.collect()) == [1, 3, 5]
 
 
-def replay_list(start, log):
+def replay_list(start, log, base=BASE):
     """Sequential meaning of list commands; rows are [id, key, value, expireat]."""
     rows = [list(r) for r in start]
     for seq, key, item, op, at, low, high in log:
         if op == "insert":
-            rows.append([BASE + seq, key, item, None])
+            rows.append([base + seq, key, item, None])
         elif op == "remove":
             rows = [r for r in rows if not (r[1] == key and r[2] is not None and r[2] == item)]
         elif op == "trim":

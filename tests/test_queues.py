@@ -28,6 +28,7 @@ def test_counts_include_orphans_and_pages_do_not(frame):
     rows = frame([(1, 7, "q", None, 0), (2, 7, "q", None, 0), (3, 404, "q", None, 0), (4, 8, "q", NOW, 0)], QUEUE)
     jobs = frame([job(7), job(8)], JOB)
     assert tuples(queues.queue_counts(rows)) == [("q", 3, 1)]
+    assert sorted(tuples(queues.queue_counts(rows, ["q", "absent"]))) == [("absent", 0, 0), ("q", 3, 1)]
     assert tuples(queues.enqueued_job_ids(rows, jobs, "q", 0, 10)) == [(7,)]
     assert tuples(queues.fetched_job_ids(rows, jobs, "q", 0, 10)) == [(8,)]
 

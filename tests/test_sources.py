@@ -42,6 +42,17 @@ def test_a_version_appears_whole_or_not_at_all(spark, frame, tmp_path):
     assert store.read("counter").count() == 0 and store.read("counter", 0).count() == 1
 
 
+def test_old_versions_can_go_but_not_the_newest(spark, frame, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    rows = frame([(1, "k", 5, NOW)], "id LONG, key STRING, value LONG, expireat TIMESTAMP")
+    for _ in range(3):
+        store.publish({"counter": rows})
+    store.drop_before(99)
+    assert store.current() == 2 and store.read("counter").count() == 1
+    with pytest.raises(ValueError):
+        store.read("counter", 0)
+
+
 def test_publishing_a_version_twice_changes_nothing(spark, frame, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     rows = frame([(1, "k", 5, NOW)], "id LONG, key STRING, value LONG, expireat TIMESTAMP")
