@@ -1,7 +1,7 @@
 """Event-time timers per key, where no built-in window fits.
 
-State per key is a few numbers. A batch's rows are reduced chunk by chunk to "the latest entry of
-each kind by seq", so neither the order of rows nor the size of a key's batch matters.
+State per key is a few numbers. A batch's rows are reduced one by one to "the latest entry of each
+kind by seq", so neither the order of rows nor the size of a key's batch matters.
 """
 
 from __future__ import annotations
@@ -9,8 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -62,27 +61,23 @@ class LeaseMonitor(_Timed):
     def __init__(self, timeout_micros: int):
         self.timeout = timeout_micros
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         turn_seq, turn, touch_seq, touch, timer = self.state.get() or (-1, "", -1, -1, 0)
-        out = self.expired(key, touch) if turn == "fetch" and self.overdue(timer, timerValues) else pd.DataFrame()
-        for chunk in rows:
-            turns = chunk[chunk["op"].isin(["fetch", "requeue", "ack"])]
-            if len(turns) and turns["seq"].max() > turn_seq:
-                latest = turns.loc[turns["seq"].idxmax()]
-                turn_seq, turn = int(latest["seq"]), str(latest["op"])
-            touches = chunk[chunk["op"].isin(["fetch", "keep_alive"])]
-            if len(touches) and touches["seq"].max() > touch_seq:
-                latest = touches.loc[touches["seq"].idxmax()]
-                touch_seq, touch = int(latest["seq"]), int(latest["micros"])
+        if turn == "fetch" and self.overdue(timer, timerValues):
+            yield self.expired(key, touch)
+        for row in rows:
+            if row.op in ("fetch", "requeue", "ack") and row.seq > turn_seq:
+                turn_seq, turn = row.seq, row.op
+            if row.op in ("fetch", "keep_alive") and row.seq > touch_seq:
+                touch_seq, touch = row.seq, row.micros
         # A lease that has ended keeps its state until then too, for entries that arrive out of order.
         timer = self.rearm(timer, touch + self.timeout if touch_seq >= 0 else None)
         self.state.update((turn_seq, turn, touch_seq, touch, timer))
-        yield out
 
-    def expired(self, key, touch: int) -> pd.DataFrame:
-        return pd.DataFrame({"id": [key[0]], "fetched": [touch], "expired": [touch + self.timeout]})
+    def expired(self, key, touch: int) -> Row:
+        return Row(id=key[0], fetched=touch, expired=touch + self.timeout)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         turn_seq, turn, touch_seq, touch, _ = self.state.get()
         if turn == "fetch":
             # The holder may still keep the lease alive, so the state stays.
@@ -90,7 +85,6 @@ class LeaseMonitor(_Timed):
             yield self.expired(key, touch)
         else:
             self.state.clear()
-            yield pd.DataFrame()
 
 
 class ExpiryMonitor(_Timed):
@@ -98,21 +92,19 @@ class ExpiryMonitor(_Timed):
 
     state_schema = "seq LONG, deadline LONG, timer LONG"
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         seq, deadline, timer = self.state.get() or (-1, None, 0)
-        out = self.expired(key, deadline) if self.overdue(timer, timerValues) else pd.DataFrame()
-        for chunk in rows:
-            if chunk["seq"].max() > seq:
-                latest = chunk.loc[chunk["seq"].idxmax()]
-                seq = int(latest["seq"])
-                deadline = None if pd.isna(latest["deadline"]) else int(latest["deadline"])
+        if self.overdue(timer, timerValues):
+            yield self.expired(key, deadline)
+        for row in rows:
+            if row.seq > seq:
+                seq, deadline = row.seq, row.deadline
         self.state.update((seq, deadline, self.rearm(timer, deadline)))
-        yield out
 
-    def expired(self, key, deadline: int) -> pd.DataFrame:
-        return pd.DataFrame({"key": [key[0]], "deadline": [deadline]})
+    def expired(self, key, deadline: int) -> Row:
+        return Row(key=key[0], deadline=deadline)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         _, deadline, _ = self.state.get()
         self.state.clear()
         yield self.expired(key, deadline)
@@ -129,7 +121,7 @@ def _time(column: str):
 def lease_stream(log: DataFrame, timeout: timedelta, delay: str = "1 hour") -> DataFrame:
     """Leases of a log stream ``(seq, id, ts, op)`` that ran out: the rows that may be delivered again."""
     entries = watermarked(log, delay).withColumn("micros", _micros("ts"))
-    expired = entries.groupBy("id").transformWithStateInPandas(
+    expired = entries.groupBy("id").transformWithState(
         LeaseMonitor(timeout // timedelta(microseconds=1)),
         outputStructType="id LONG, fetched LONG, expired LONG",
         outputMode="Append",
@@ -142,7 +134,7 @@ def key_expiry_stream(commands: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Tombstones of keys in a stream ``(seq, ts, key, expire_at)`` of expire and persist commands
     (``expire_at`` NULL); the latest command counts, whichever way it moved the expiry."""
     versions = watermarked(commands, delay).withColumn("deadline", _micros("expire_at"))
-    gone = versions.groupBy("key").transformWithStateInPandas(
+    gone = versions.groupBy("key").transformWithState(
         ExpiryMonitor(), outputStructType="key STRING, deadline LONG", outputMode="Append", timeMode="eventTime"
     )
     return gone.select("key", _time("deadline").alias("expireat"))
