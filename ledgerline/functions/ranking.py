@@ -17,8 +17,14 @@ PRUNED_RANK = 1000
 TOURNAMENT_SALTS = (65536, 256)
 
 
-def _bucket(order: str, width: int) -> Column:
-    return F.expr(f"`{order}` div {int(width)}")
+def _group(keys: list[str], order: str, width: int) -> Column:
+    """Key and bucket as one struct. Partitioned by plain columns, rows that come from a join on the key
+    would stay where the join put them: every bucket of a hot key in one task."""
+    return F.struct(*keys, F.expr(f"`{order}` div {int(width)}").alias("_bucket"))
+
+
+def _keys_of_group(keys: list[str]) -> list[Column]:
+    return [F.col(f"_group.{key}") for key in keys]
 
 
 def position_per_key(
@@ -31,19 +37,21 @@ def position_per_key(
 ) -> DataFrame:
     """Adds the 0-based position of each row within its key, by a unique integer column."""
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    rows = df.withColumn("_bucket", _bucket(order, width))
+    rows = df.withColumn("_group", _group(keys, order, width))
     before = F.sum("_rows").over(
-        Window.partitionBy(*keys).orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*_keys_of_group(keys))
+        .orderBy(direction("_group._bucket"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        rows.groupBy(*keys, "_bucket")
+        rows.groupBy("_group")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
+        .select("_group", F.coalesce(before, F.lit(0)).alias("_before"))
     )
-    within = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(direction(order)))
+    within = F.row_number().over(Window.partitionBy("_group").orderBy(direction(order)))
     return (
         rows.withColumn("_within", within)
-        .join(offsets, [*keys, "_bucket"])
+        .join(offsets, "_group")
         .withColumn(name, F.col("_before") + F.col("_within") - F.lit(1))
         .select(*df.columns, name)
     )
@@ -82,7 +90,8 @@ def top_per_key(
     for salt in salts:
         sub = Window.partitionBy(*keys, F.pmod(F.xxhash64(spread), F.lit(salt))).orderBy(*by)
         df = df.withColumn("_rank", F.row_number().over(sub)).where(F.col("_rank") <= n).drop("_rank")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    # The struct keeps the pruning ahead of a shuffle also when rows come from a join on the keys.
+    rank = F.row_number().over(Window.partitionBy(F.struct(*keys)).orderBy(*by))
     return df.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
@@ -90,21 +99,23 @@ def carry_last(
     df: DataFrame, keys: list[str], order: str, value: Column, name: str, width: int = BUCKET_WIDTH
 ) -> DataFrame:
     """Adds the last non-null ``value`` among the strictly earlier rows of the same key."""
-    rows = df.withColumn("_bucket", _bucket(order, width)).withColumn("_value", value)
+    rows = df.withColumn("_group", _group(keys, order, width)).withColumn("_value", value)
     within = F.last("_value", ignorenulls=True).over(
-        Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_group").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
     earlier = F.last("_last", ignorenulls=True).over(
-        Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*_keys_of_group(keys))
+        .orderBy("_group._bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        rows.groupBy(*keys, "_bucket")
+        rows.groupBy("_group")
         .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_last"))
-        .select(*keys, "_bucket", earlier.alias("_carried"))
+        .select("_group", earlier.alias("_carried"))
     )
     return (
         rows.withColumn("_within", within)
-        .join(carried, [*keys, "_bucket"])
+        .join(carried, "_group")
         .withColumn(name, F.coalesce("_within", "_carried"))
         .select(*df.columns, name)
     )

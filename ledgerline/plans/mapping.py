@@ -277,4 +277,7 @@ def stream_view(ledger: Ledger, name: str) -> DataFrame:
     """A view over the events table, computed on the stream of events."""
     relation = f"events_{uuid.uuid4().hex}"
     ledger.events_stream().createTempView(relation)
-    return ledger.over(name, relation)
+    try:
+        return ledger.over(name, relation)
+    finally:
+        ledger.spark.catalog.dropTempView(relation)

@@ -7,7 +7,9 @@ from datetime import timedelta
 from ledgerline.operators import maintain
 from ledgerline.plans.mapping import ASOF_EVENTS, ASOF_JOBS, Ledger
 from ledgerline.plans.registry import query
+from ledgerline.session import new_folder
 from ledgerline.sources.schemas import EXPIRING_TABLES, SCHEMAS, fill_payloads, normalize_snapshot
+from ledgerline.sources.snapshots import SnapshotStore
 
 CLOCKS = {name: ASOF_JOBS if name in ("job", "list") else ASOF_EVENTS for name in EXPIRING_TABLES}
 
@@ -80,6 +82,14 @@ SELECT CAST(id AS BIGINT) AS id, jobid, queue, fetchedat, CAST(0 AS INT) AS upda
 )(lambda ledger: normalize_snapshot(ledger["old_jobqueue"], "jobqueue"))
 
 
+@query("publish_snapshot", "SELECT id, jobid, queue, fetchedat, updatecount FROM ll_jobqueue")
+def _published(ledger: Ledger):
+    store = SnapshotStore(ledger.spark, new_folder(ledger.spark))
+    tables = {name: ledger[name].select(*SCHEMAS[name].names) for name in ("jobqueue", "server")}
+    version = store.publish(tables, cluster_by={"jobqueue": ["queue", "fetchedat"]})
+    return store.read("jobqueue", version)
+
+
 @query(
     "json_defaults",
     """

@@ -92,6 +92,21 @@ def test_ranges_prune_before_the_shuffle(ledger):
         assert text.rindex("WindowGroupLimit") > text.rindex("Exchange hashpartitioning") or "Partial" in text
 
 
+def test_ranks_of_asked_keys_leave_the_partitions_of_the_join(spark, ledger):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asked = ledger["list"].select("key").distinct()
+        pruned = plan(collections.list_range(ledger["list"], 2, 20, asked))
+        whole = plan(collections.list_items(ledger["list"], asked))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for text in (pruned, whole):
+        window = text.index("row_number()")
+        assert text.index("Exchange hashpartitioning", window) < text.index("SortMergeJoin [key", window)
+    join = pruned.index("SortMergeJoin [key")
+    assert pruned.index("Partial") < join
+
+
 def test_few_commands_do_not_shuffle_the_snapshot(ledger, frame):
     commands = frame([(1, 1, "set_state", "S", None, None, None)], "seq LONG, jobid LONG, op STRING, name STRING, reason STRING, data STRING, ts TIMESTAMP")
     after, _ = apply.apply_states(ledger["job"], ledger["state"], commands)

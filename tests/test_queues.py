@@ -3,6 +3,8 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import tuples
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from ledgerline.operators import leases, queues
 from ledgerline.sources.schemas import union_sources
@@ -70,6 +72,16 @@ def test_update_count_wraps(frame):
     assert queues.claim_batch(rows, ["q"], HALF_HOUR, NOW, 1).first().updatecount == 0
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.none() | st.integers(0, 60)), max_size=25), st.integers(1, 10))
+def test_claims_take_the_first_free_rows_only(frame, waiting, workers):
+    rows = [(i, i, q, None if age is None else NOW - timedelta(minutes=age), 0) for i, (q, age) in enumerate(waiting)]
+    free = [r for r in rows if r[2] != "c" and (r[3] is None or NOW - r[3] > HALF_HOUR)]
+    free.sort(key=lambda r: (r[3] is not None, r[3] or NOW, r[2], r[1]))
+    claims = queues.claim_batch(frame(rows, QUEUE), ["b", "a"], HALF_HOUR, NOW, workers).orderBy("slot")
+    assert [r.id for r in claims.collect()] == [r[0] for r in free[:workers]]
+
+
 def test_claim_arguments(frame):
     rows = frame([], QUEUE)
     with pytest.raises(ValueError):
