@@ -28,9 +28,11 @@ def with_absent_keys(result: DataFrame, column: str, keys: Keys, defaults: dict[
     if keys is None:
         return result
     if not isinstance(keys, DataFrame):
+        if not keys:
+            return result
         kind = result.schema[column].dataType
-        keys = result.sparkSession.createDataFrame([(key,) for key in keys], [column])
-        keys = keys.select(F.col(column).cast(kind))
+        listed = F.explode(F.array(*[F.lit(key).cast(kind) for key in keys]))
+        keys = result.sparkSession.range(1).select(listed.alias(column))
     asked = keys.select(F.col(keys.columns[0]).alias(column)).distinct()
     filled = asked.join(result, column, "left")
     return filled.select(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.clock import as_datetime
+from ledgerline.functions.clock import as_datetime, instant
 from ledgerline.functions.payload import SERVER_PAYLOAD, state_fields, utc_time, whole_number
 from ledgerline.functions.ranking import range_per_key
 from ledgerline.operators.keys import Keys, bounded, check_page, group, restrict
@@ -295,9 +295,13 @@ def _timeline(
         .groupBy("key")
         .agg(F.sum("value").alias("n"))
     )
-    slots = counter.sparkSession.createDataFrame(
-        [(kind, at.isoformat(sep=" "), key) for kind, at, key in labels], "kind string, at string, key string"
-    ).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    slots = counter.sparkSession.range(1).select(
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(k).alias("kind"), instant(at).alias("at"), F.lit(key).alias("key")) for k, at, key in labels]
+            )
+        )
+    )
     # At most one total per label, so the right side is as small as the label list.
     return slots.join(F.broadcast(totals), "key", "left").select(
         "kind", "at", F.col("key").alias("bucket_key"), F.coalesce("n", F.lit(0)).alias("n")

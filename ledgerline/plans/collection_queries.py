@@ -72,8 +72,7 @@ query(
     "counter_value",
     """
 SELECT key, CAST(sum(value) AS BIGINT) AS value
-FROM (SELECT key, sum(value) AS value FROM ll_counter GROUP BY key
-      UNION ALL SELECT key, sum(value) FROM ll_aggregatedcounter GROUP BY key) GROUP BY key""",
+FROM (SELECT key, value FROM ll_counter UNION ALL SELECT key, value FROM ll_aggregatedcounter) GROUP BY key""",
 )(lambda ledger: keyed.counter_value(ledger["counter"], ledger["aggregatedcounter"]))
 
 

@@ -46,6 +46,7 @@ SELECT ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_supp
               '{{"StartedAt":"' || {_DAY} || ',"ServerName":"srv-' || CAST(l_suppkey AS STRING) || '"}}'
             ELSE '{{"EnqueueAt":"' || {_DAY} || ',"ScheduledAt":"' || {_DAY} || '}}' END AS data
 FROM @lineitem""",
+    # The latest state is picked by a number: an aggregate of numbers is hashed, one of text is sorted.
     "job": """
 SELECT o.o_orderkey AS id, s.stateid, s.statename,
        '{"Type":"T' || CAST(o.o_custkey % 7 AS STRING) || '","Method":"M' || CAST(o.o_custkey % 3 AS STRING) || '"}'
@@ -55,7 +56,14 @@ SELECT o.o_orderkey AS id, s.stateid, s.statename,
        CASE WHEN o.o_orderkey % 5 = 0 THEN NULL ELSE o.o_orderdate + (o.o_orderkey % 40) * INTERVAL '1' DAY END
          AS expireat
 FROM @orders o
-LEFT JOIN (SELECT jobid, max(id) AS stateid, max_by(name, id) AS statename FROM ll_state GROUP BY jobid) s
+LEFT JOIN (
+  SELECT jobid, stateid,
+         CASE code WHEN 1 THEN 'Failed' WHEN 2 THEN 'Deleted' WHEN 3 THEN 'Succeeded' WHEN 4 THEN 'Enqueued'
+                   WHEN 5 THEN 'Processing' ELSE 'Scheduled' END AS statename
+  FROM (SELECT jobid, max(id) AS stateid,
+               max_by(CASE name WHEN 'Failed' THEN 1 WHEN 'Deleted' THEN 2 WHEN 'Succeeded' THEN 3
+                                WHEN 'Enqueued' THEN 4 WHEN 'Processing' THEN 5 ELSE 6 END, id) AS code
+        FROM ll_state GROUP BY jobid)) s
   ON s.jobid = o.o_orderkey""",
     "jobparameter": """
 SELECT o_orderkey * 2 AS id, o_orderkey AS jobid, 'RetryCount' AS name, CAST(o_orderkey % 10 AS STRING) AS value

@@ -129,8 +129,7 @@ def _job_data(ledger: Ledger):
 query(
     "state_data",
     """
-SELECT j.id AS job_id, s.name, s.reason, s.data
-FROM ll_state s INNER JOIN ll_job j ON j.stateid = s.id""",
+SELECT j.id AS job_id, s.name, s.reason, s.data FROM ll_job j JOIN ll_state s ON s.id = j.stateid""",
 )(lambda ledger: monitor.state_data(ledger["job"], ledger["state"]))
 
 query(
@@ -147,10 +146,8 @@ def _all_queues(ledger: Ledger):
 
 
 def _total(key: str) -> str:
-    return (
-        "coalesce((SELECT sum(value) FROM (SELECT sum(value) AS value FROM ll_counter "
-        f"WHERE key = '{key}' UNION ALL SELECT sum(value) FROM ll_aggregatedcounter WHERE key = '{key}')), 0)"
-    )
+    parts = [f"coalesce((SELECT sum(value) FROM ll_{t} WHERE key = '{key}'), 0)" for t in ("counter", "aggregatedcounter")]
+    return " + ".join(parts)
 
 
 def _jobs(state: str) -> str:

@@ -20,9 +20,9 @@ _FREE = f"""queue IN ({_NAMES})
 
 def _ids(fetched: str) -> str:
     return f"""
-SELECT DISTINCT j.id FROM ll_jobqueue jq LEFT JOIN ll_job j ON jq.jobid = j.id
-WHERE jq.queue = '{QUEUE}' AND jq.fetchedat {fetched} AND j.id IS NOT NULL
-ORDER BY j.id LIMIT {LIMIT} OFFSET {OFFSET}"""
+SELECT jobid AS id FROM ll_jobqueue
+WHERE queue = '{QUEUE}' AND fetchedat {fetched} AND jobid IN (SELECT id FROM ll_job)
+GROUP BY jobid ORDER BY jobid LIMIT {LIMIT} OFFSET {OFFSET}"""
 
 
 _ENQUEUED_AT = """CASE WHEN s.name = 'Enqueued'
@@ -33,9 +33,8 @@ query("queues", "SELECT DISTINCT queue FROM ll_jobqueue")(lambda ledger: queues.
 query(
     "queue_counts",
     """
-SELECT q.queue, (SELECT count(*) FROM ll_jobqueue a WHERE a.fetchedat IS NULL AND a.queue = q.queue) AS enqueued,
-       (SELECT count(*) FROM ll_jobqueue b WHERE b.fetchedat IS NOT NULL AND b.queue = q.queue) AS fetched
-FROM (SELECT DISTINCT queue FROM ll_jobqueue) q""",
+SELECT queue, count(*) - count(fetchedat) AS enqueued, count(fetchedat) AS fetched
+FROM ll_jobqueue GROUP BY queue""",
 )(lambda ledger: queues.queue_counts(ledger["jobqueue"]))
 
 query("enqueued_job_ids", f"SELECT id AS job_id FROM ({_ids('IS NULL')})")(
@@ -49,20 +48,19 @@ query("fetched_job_ids", f"SELECT id AS job_id FROM ({_ids('IS NOT NULL')})")(
 query(
     "enqueued_jobs",
     f"""
-SELECT DISTINCT ON (j.id) j.id AS job_id, j.invocationdata, j.arguments, s.name AS state, {_ENQUEUED_AT} AS enqueued_at
-FROM ll_job j LEFT JOIN ll_state s ON s.id = j.stateid LEFT JOIN ll_jobqueue jq ON jq.jobid = j.id
-WHERE j.id IN ({_ids("IS NULL")}) AND jq.fetchedat IS NULL
-ORDER BY j.id""",
+SELECT j.id AS job_id, j.invocationdata, j.arguments, s.name AS state, {_ENQUEUED_AT} AS enqueued_at
+FROM ll_job j LEFT JOIN ll_state s ON s.id = j.stateid
+WHERE j.id IN ({_ids("IS NULL")})
+  AND (EXISTS (SELECT 1 FROM ll_jobqueue q WHERE q.jobid = j.id AND q.fetchedat IS NULL)
+       OR NOT EXISTS (SELECT 1 FROM ll_jobqueue q WHERE q.jobid = j.id))""",
 )(lambda ledger: queues.enqueued_jobs(ledger["jobqueue"], ledger["job"], ledger["state"], QUEUE, OFFSET, LIMIT))
 
 query(
     "fetched_jobs",
     f"""
-SELECT DISTINCT ON (j.id) j.id AS job_id, j.invocationdata, j.arguments, j.statename AS state,
-       jq.fetchedat AS fetched_at
-FROM ll_job j LEFT JOIN ll_state s ON s.id = j.stateid LEFT JOIN ll_jobqueue jq ON jq.jobid = j.id
-WHERE j.id IN ({_ids("IS NOT NULL")}) AND jq.fetchedat IS NOT NULL
-ORDER BY j.id, jq.fetchedat DESC""",
+SELECT j.id AS job_id, j.invocationdata, j.arguments, j.statename AS state,
+       (SELECT max(q.fetchedat) FROM ll_jobqueue q WHERE q.jobid = j.id) AS fetched_at
+FROM ll_job j WHERE j.id IN ({_ids("IS NOT NULL")})""",
 )(lambda ledger: queues.fetched_jobs(ledger["jobqueue"], ledger["job"], QUEUE, OFFSET, LIMIT))
 
 query(
