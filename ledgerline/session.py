@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 # State needs RocksDB for event-time timers; ledger times are UTC throughout.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,17 +45,18 @@ def prepare(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
-    Read from ``spark.checkpoint.dir``. Only a local session may fall back to a temporary folder:
-    on a cluster a machine-local folder would be lost with its executor.
+    Read from ``spark.checkpoint.dir``. Only a local session may fall back to a temporary folder, one per
+    application: on a cluster a machine-local folder would be lost with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.match(r"local(\[|$)", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="ledgerline-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -69,3 +73,9 @@ def stored(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder that a finished step of this package wrote."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,6 +10,7 @@ import __spark_entry__ as entry
 import check
 from ledgerline.plans.apply_queries import FIRST_ID
 from ledgerline.plans.mapping import Ledger
+from ledgerline.plans.registry import all_checks, all_queries
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 SMALL = "/root/testdata/sf0.001"
@@ -24,7 +25,7 @@ def engine():
     return check.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, engine, name):
     outcome = check.check(spark, engine, FOLDER, name)
     assert outcome.startswith("rows-only" if name in REPLAYED else "ok"), outcome
@@ -66,7 +67,7 @@ def test_set_range_query_equals_replay(spark):
 
 
 def test_every_other_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == REPLAYED
+    assert set(all_queries()) - set(all_checks()) == REPLAYED
 
 
 def test_flagship(spark):
