@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import BLANKS, Steps, let, words
 
 SYMBOLS = "#*$%&|<>"
+# Letters, digits and inner marks, with at most one sentence mark and quote or bracket around them.
+PLAIN = r"^[\"'(]?[\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}'’.,-]*[:;?!]?[\"')]?$"
 ROUNDS = 50
 
 
@@ -77,38 +79,45 @@ def statistics(docs: DataFrame) -> DataFrame:
         count("!").cast("bigint").alias("n_marks"),
         F.size(ended).cast("bigint").alias("n_ended"),
         F.size(F.array_distinct("words")).cast("bigint").alias("n_distinct"),
+        F.size(F.filter("words", lambda w: w.rlike(PLAIN))).cast("bigint").alias("n_plain"),
     )
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes bad from ``bad`` on and good up to ``good`` of a ratio, and abstains between or without a ratio."""
+    """Votes on the ratio of two counts: bad on the far side of ``bad``, good on the other side of ``good``.
+
+    Without ``good`` a rule only ever finds fault: the absence of one fault says little about the others,
+    and a vote for it would drown the fault. It abstains otherwise, and when ``whole`` is below ``least``.
+    """
 
     name: str
     part: str
     whole: str
-    good: float
     bad: float
+    good: float | None = None
     least: int = 1
 
     def vote(self) -> Column:
         ratio = F.col(self.part) / F.col(self.whole)
-        if self.good <= self.bad:
-            good, bad = ratio <= self.good, ratio >= self.bad
+        if self.good is None:
+            bad, good = ratio >= self.bad, F.lit(False)
+        elif self.good <= self.bad:
+            bad, good = ratio >= self.bad, ratio <= self.good
         else:
-            good, bad = ratio >= self.good, ratio <= self.bad
+            bad, good = ratio <= self.bad, ratio >= self.good
         return F.when(F.col(self.whole) < self.least, 0).when(good, 1).when(bad, -1).otherwise(0)
 
 
 RULES = (
-    Rule("symbols", "n_symbols", "n_words", 0.05, 0.3),
-    Rule("marks", "n_marks", "n_words", 0.1, 0.4),
-    Rule("capitals", "n_upper", "word_chars", 0.15, 0.4),
-    Rule("repeated_windows", "n_repeat_words", "n_words", 0.1, 0.3, 20),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", 0.05, 0.3, 4),
-    Rule("word_length", "word_chars", "n_words", 9.0, 14.0),
-    Rule("sentence_marks", "n_ended", "n_words", 0.04, 0.01, 30),
-    Rule("vocabulary", "n_distinct", "n_words", 0.3, 0.15, 50),
+    Rule("symbols", "n_symbols", "n_words", bad=0.2),
+    Rule("marks", "n_marks", "n_words", bad=0.3),
+    Rule("capitals", "n_upper", "word_chars", bad=0.35),
+    Rule("repeated_windows", "n_repeat_words", "n_words", bad=0.3, least=20),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", bad=0.5, least=4),
+    Rule("plain_words", "n_plain", "n_words", bad=0.75, good=0.9),
+    Rule("sentence_marks", "n_ended", "n_words", bad=0.02, good=0.04, least=30),
+    Rule("vocabulary", "n_distinct", "n_words", bad=0.15, good=0.3, least=50),
 )
 
 
