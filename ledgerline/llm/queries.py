@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import licenses, mixing, rules
+from ledgerline.llm import licenses, mixing, packing, rules
 from ledgerline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,8 @@ def _licenses(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_quality_rules")
 def _rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(table(spark, folder, "documents"))
+
+
+@query("op4_packing")
+def _packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
