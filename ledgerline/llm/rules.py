@@ -24,28 +24,28 @@ ROUNDS = 50
 def repeated_words(words_: Column) -> Column:
     """Words that lie in three-word windows found twice or more in the text.
 
-    Windows are sorted by hash and content, so equal ones are neighbours; the starts of those found twice
-    are sorted again, and each covers up to the next start or three words. A text without two windows has none.
+    Each window becomes a number: a hash above, its place in the low bits. Sorted, equal windows are
+    neighbours (their words are compared as well); the places of those found twice are sorted again, and
+    each covers up to the next place or three words. A text without two windows has none.
     """
 
-    def of(w: Column) -> Column:
-        window = lambda i: F.concat(
-            F.get(w, i), F.lit(" "), F.get(w, i + 1), F.lit(" "), F.get(w, i + 2)
-        )
+    def of(w: Column, bits: Column) -> Column:
+        hashed = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+        code = lambda i: _up(_down(hashed(i), bits), bits).bitwiseOR(i.cast("bigint"))
         starts = F.sequence(F.lit(0), F.size(w) - 3)
-        entry = lambda i: let(window(i), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"), i.alias("i")))
-        return let(F.array_sort(F.transform(starts, entry)), twice)
-
-    def twice(s: Column) -> Column:
-        same = lambda j, k: F.get(s, j)["g"] == F.get(s, k)["g"]
-        positions = F.transform(
-            F.filter(
-                F.sequence(F.lit(0), F.size(s) - 1),
-                lambda j: F.coalesce(same(j, j - 1), F.lit(False)) | F.coalesce(same(j, j + 1), F.lit(False)),
-            ),
-            lambda j: F.get(s, j)["i"],
+        mask = _up(F.lit(1).cast("bigint"), bits) - 1
+        return let(F.sort_array(F.transform(starts, code)), lambda s: twice(w, s, bits, mask))
+
+    def twice(w: Column, s: Column, bits: Column, mask: Column) -> Column:
+        place = lambda x: x.bitwiseAND(mask).cast("int")
+        alike = lambda x, y: (
+            (_down(x.bitwiseXOR(y), bits) == 0)
+            & (F.get(w, place(x)) == F.get(w, place(y)))
+            & (F.get(w, place(x) + 1) == F.get(w, place(y) + 1))
+            & (F.get(w, place(x) + 2) == F.get(w, place(y) + 2))
         )
-        return let(F.array_sort(positions), covered)
+        found = F.filter(s, lambda x, j: alike(x, F.get(s, j - 1)) | alike(x, F.get(s, j + 1)))
+        return let(F.sort_array(F.transform(found, place)), covered)
 
     def covered(p: Column) -> Column:
         sum_of = F.aggregate(
@@ -56,7 +56,18 @@ def repeated_words(words_: Column) -> Column:
         return F.when(F.size(p) == 0, F.lit(0)).otherwise(sum_of)
 
     # sequence() counts down when its end is below its start, so short inputs are kept from it.
-    return let(words_, lambda w: F.when(F.size(w) < 4, F.lit(0)).otherwise(of(w))).cast("bigint")
+    bits = lambda w: F.length(F.bin(F.size(w).cast("bigint")))
+    return let(
+        words_, lambda w: F.when(F.size(w) < 4, F.lit(0)).otherwise(let(bits(w), lambda b: of(w, b)))
+    ).cast("bigint")
+
+
+def _up(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftleft", value, bits)
+
+
+def _down(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftright", value, bits)
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -70,7 +81,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     return base.select(
         "doc_id",
         F.size("words").cast("bigint").alias("n_words"),
-        F.length(F.translate("text", BLANKS, "")).cast("bigint").alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         count(SYMBOLS).cast("bigint").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
@@ -78,7 +89,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         upper.cast("bigint").alias("n_upper"),
         count("!").cast("bigint").alias("n_marks"),
         F.size(ended).cast("bigint").alias("n_ended"),
-        F.size(F.array_distinct("words")).cast("bigint").alias("n_distinct"),
+        F.size(F.array_distinct(F.transform("words", lambda w: F.xxhash64(w)))).cast("bigint").alias("n_distinct"),
         F.size(F.filter("words", lambda w: w.rlike(PLAIN))).cast("bigint").alias("n_plain"),
     )
 
