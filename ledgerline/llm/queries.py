@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import licenses, mixing, packing, rules
+from ledgerline.llm import licenses, mixing, packing, repeats, rules
 from ledgerline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +51,10 @@ def _rules(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_packing")
 def _packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query("op3_suffix_repeats", repeats.CHECK)
+def _repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.dedup(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
