@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import Steps, let
+
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
     "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
@@ -72,18 +74,28 @@ SPELLINGS = (
     ("wilful", "willful"),
     ("http", "https"),
 )
-_COPYRIGHT = r"(?m)^[\x20\x09]*(?:copyright\b|\(c\)\s|\x{A9}|all rights reserved)[^\n]*$"
+_COPYRIGHT = r"^[\x20\x09]*(?:copyright\b|\(c\)[\x20\x09]|\x{A9}|all rights reserved)"
 _OTHER = r"[^\p{L}\p{N}]+"
 
 
-def canonical(text: Column) -> Column:
-    """A text in its canonical form: lower case, no copyright lines, only letters and digits between single
-    spaces, one spelling per word. Null counts as empty."""
-    plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _COPYRIGHT, "")
+def _canonical_line(line: Column) -> Column:
+    plain = F.lower(line)
     spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(plain, _OTHER, " ")), F.lit(" "))
     for old, new in SPELLINGS:
         spaced = F.replace(spaced, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.trim(spaced)
+    return F.when(plain.rlike(_COPYRIGHT), F.lit("")).otherwise(F.trim(spaced))
+
+
+def canonical_lines(text: Column) -> Column:
+    """The canonical forms of a text's lines, without empty ones: lower case, no copyright lines, only letters
+    and digits between single spaces, one spelling per word. Null counts as empty."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+    return F.filter(F.transform(lines, _canonical_line), lambda form: form != "")
+
+
+def canonical(text: Column) -> Column:
+    """A whole text in canonical form: its canonical lines one after the other."""
+    return F.array_join(canonical_lines(text), " ")
 
 
 def digest(text: Column) -> Column:
@@ -110,15 +122,19 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     grows with the number of known licences, not with the documents. Rows that repeat a ``doc_id`` share
     the notices of all of them. An empty table gives an empty result.
     """
-    whole = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest(F.col("text")).alias("digest"))
-    lines = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.explode(F.split("text", "\n")).alias("line"))
-        .where(F.length("line") > 0)
-        .select("doc_id", digest(F.col("line")).alias("digest"))
+    forms = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        let(canonical_lines(F.col("text")), lambda x: F.concat(F.array(F.array_join(x, " ")), x)).alias("forms"),
+    )
+    # The text itself stands first; of the lines only those that are a licence go on.
+    found = Steps(docs.sparkSession).table(
+        forms.select("doc_id", F.posexplode("forms").alias("place", "form"))
+        .select("doc_id", "place", F.when(F.col("form") != "", F.sha2("form", 256)).alias("digest"))
+        .join(F.broadcast(known), "digest", "left")
+        .where("place = 0 OR license IS NOT NULL")
     )
-    listed = F.broadcast(known)
     notices = (
-        lines.join(listed, "digest")
+        found.where("place > 0")
         .groupBy("doc_id")
         .agg(
             F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"),
@@ -126,14 +142,14 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
         )
     )
     return (
-        whole.join(listed, "digest", "left")
+        found.where("place = 0")
         .join(notices, "doc_id", "left")
         .select("doc_id", "digest", "license", "notices", F.coalesce("n_notices", F.lit(0)).cast("bigint").alias("n_notices"))
     )
 
 
 def _canonical_sql(text: str) -> str:
-    form = rf"regexp_replace(lower(coalesce({text}, '')), '(?m)^[\x20\x09]*(?:copyright\b|\(c\)\s|\x{{A9}}|all rights reserved)[^\n]*$', '', 'g')"
+    form = rf"regexp_replace(lower(coalesce({text}, '')), '(?m)^[\x20\x09]*(?:copyright\b|\(c\)[\x20\x09]|\x{{A9}}|all rights reserved)[^\n]*$', '', 'g')"
     form = rf"' ' || trim(regexp_replace({form}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
     for old, new in SPELLINGS:
         form = f"replace({form}, ' {old} ', ' {new} ')"
