@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import licenses, mixing, packing, repeats, rules
+from ledgerline.llm import licenses, mixing, neardup, packing, repeats, rules
 from ledgerline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,8 @@ def _repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.dedup(table(spark, folder, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op7_near_duplicates", neardup.CHECK)
+def _near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"))
