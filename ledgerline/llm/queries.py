@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import licenses, mixing, neardup, packing, repeats, rules
+from ledgerline.llm import licenses, mixing, neardup, packing, repeats, rules, warc
 from ledgerline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,10 @@ def _repeats(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_near_duplicates", neardup.CHECK)
 def _near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op9_warc", warc.CHECK)
+def _warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
