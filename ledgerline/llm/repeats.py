@@ -31,7 +31,7 @@ from ledgerline.llm.common import Steps
 SPAN = 100
 GRAM = 24
 # Bytes looked at together. Longer texts are taken in segments that overlap by a window less one.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)  # odd: they have inverses modulo 2^64
@@ -240,9 +240,14 @@ def settle(rows: DataFrame, digits: list[str], rest: list[str], carried: list[st
 
     Rows are equal if ``digits`` and ``rest`` are. A first row is open if others have its digits but not its rest.
     """
-    equal = rows.groupBy(*digits, *rest).agg(F.min(F.struct("doc", "low", *carried)).alias("first"))
+    # Grouped by a struct, the classes are dealt anew for the join, so that a hot class can be split there.
+    equal = (
+        rows.groupBy(F.struct(*digits, *rest).alias("_k"))
+        .agg(F.min(F.struct("doc", "low", *carried)).alias("first"), F.count(F.lit(1)).alias("_n"))
+        .select("_k.*", "first", "_n")
+    )
     later = (
-        rows.join(equal, [*digits, *rest])
+        rows.join(equal.where("_n > 1"), [*digits, *rest])
         .where((F.col("doc") != F.col("first.doc")) | (F.col("low") != F.col("first.low")))
         .select("doc", "low", "n")
     )
@@ -273,12 +278,7 @@ def repeated_windows(steps: Steps, docs: DataFrame, span: int = SPAN) -> DataFra
         (F.col("low") + F.col("j_high") - F.col("j")).alias("low"),
         F.lit(1).alias("n"),
     )
-    first = single.groupBy("core", "j", "l", "r").agg(F.min(F.struct("doc", "low")).alias("first"))
-    later_windows = steps.table(
-        single.join(first, ["core", "j", "l", "r"])
-        .where((F.col("doc") != F.col("first.doc")) | (F.col("low") != F.col("first.low")))
-        .select("doc", "low", "n")
-    )
+    later_windows = steps.table(settle(single, ["core", "j"], ["l", "r"], [])[0])
     steps.free(wanted)
     return later_runs.unionByName(later_blocks).unionByName(later_windows)
 

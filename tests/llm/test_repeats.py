@@ -57,8 +57,8 @@ def test_equals_brute_force(documents, monkeypatch, seed):
 def test_segments_of_long_texts(documents, monkeypatch):
     rng = random.Random(9)
     chunk = lambda n: "".join(rng.choice("abcd ") for _ in range(n))
-    long = chunk(1_300_000)
-    piece = long[1_048_000:1_049_500]  # across the border of two segments
+    long = chunk(5 * repeats.SEGMENT // 4)
+    piece = long[repeats.SEGMENT - 576 : repeats.SEGMENT + 924]  # across the border of two segments
     rows = [(1, long), (2, chunk(500) + piece + chunk(300)), (3, piece[7:])]
     out = {r.doc_id: r for r in repeats.dedup(documents(rows)).collect()}
     assert out[1].n_removed == 0
