@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, licenses, mixing, neardup, packing, repeats, rules, warc
+from ledgerline.llm import ann, classifier, licenses, mixing, neardup, packing, repeats, rules, warc
 from ledgerline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,8 @@ def _warc(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_nearest")
 def _nearest(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+@query("op6_quality_classifier")
+def _classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
