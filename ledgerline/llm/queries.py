@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, classifier, licenses, mixing, neardup, packing, repeats, rules, warc
+from ledgerline.llm import ann, classifier, licenses, lm, mixing, neardup, packing, repeats, rules, warc
 from ledgerline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,8 @@ def _nearest(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_quality_classifier")
 def _classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op2_attention_scores")
+def _attention_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(table(spark, folder, "documents"))
