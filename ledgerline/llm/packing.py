@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Steps, running_total
-from ledgerline.llm.tokens import WordIds, chunks, tokenizer_path
+from ledgerline.llm.tokens import chunks, tokenizer_path, word_ids
 
 WINDOW = 2048
 UNIT = 8
@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     """
 
     def cut(batches):
-        words = WordIds(path)
+        words = word_ids(path)
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             texts = [text or b"" for text in batch.column("text").to_pylist()]
@@ -70,6 +70,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
 
 
 _ARROW = [pa.int64()] * 5 + [pa.list_(pa.int64())]
+_PLACED = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "marks"]
 
 
@@ -282,32 +283,21 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, unit: i
     groups = max(1, -(-rest // GREEDY_ROWS))
     stride = -(-rest // groups) * 2 + 1  # windows of a group: at most one per piece, and one more when pieces are cut
 
-    def remaining(frame):
-        import pandas as pd
-
-        frame = frame.sort_values(["doc_id", "start", "length", "ids_crc32"], kind="stable").reset_index(drop=True)
-        group = int(frame["bucket"].iloc[0])
-        rows = list(zip(frame["length"].tolist(), frame["ids_crc32"].tolist(), map(list, frame["marks"]), strict=True))
-        done = greedy(rows, window)
-        at = [d[0] for d in done]
-        low = np.array([d[1] for d in done], np.int64)
-        return pd.DataFrame(
-            {
-                "doc_id": frame["doc_id"].take(at).to_numpy(),
-                "start": frame["start"].take(at).to_numpy() + low,
-                "length": np.array([d[2] for d in done], np.int64) - low,
-                "ids_crc32": [d[3] for d in done],
-                "doc_tokens": frame["doc_tokens"].take(at).to_numpy(),
-                "sequence_id": windows + group * stride + np.array([d[4] for d in done], np.int64),
-                "offset": [d[5] for d in done],
-            }
-        )
+    def remaining(table):
+        table = table.sort_by([(name, "ascending") for name in ("doc_id", "start", "length", "ids_crc32")])
+        column = {name: table.column(name).to_pylist() for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "marks")}
+        first = windows + table.column("bucket")[0].as_py() * stride
+        rows = list(zip(column["length"], column["ids_crc32"], column["marks"], strict=True))
+        out = [
+            (column["doc_id"][i], column["start"][i] + low, high - low, crc, column["doc_tokens"][i], first + number, at)
+            for i, low, high, crc, number, at in greedy(rows, window)
+        ]
+        return pa.table([pa.array(values, pa.int64()) for values in zip(*out)], names=_PLACED)
 
     loose = (
         placed.where("first IS NULL")
         .withColumn("bucket", F.pmod(F.col("rank") + F.col("shift"), F.lit(groups)))
         .groupBy("bucket")
-        .applyInPandas(remaining, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, `offset` bigint")
+        .applyInArrow(remaining, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, `offset` bigint")
     )
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    return single.select(names).unionByName(shared.select(names)).unionByName(loose.select(names))
+    return single.select(_PLACED).unionByName(shared.select(_PLACED)).unionByName(loose.select(_PLACED))

@@ -7,12 +7,16 @@ splits at exactly the six ASCII blanks.
 
 from __future__ import annotations
 
+import functools
 import os
 
 import numpy as np
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 CHUNK_BYTES = 4 << 20
+# Words are encoded many at a time, with this character between them; its id tells them apart.
+MARK = "\x01"
+TOGETHER = 256
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -21,8 +25,18 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@functools.lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The words of this process: kept from task to task."""
+    return WordIds(path)
+
+
 class WordIds(dict):
-    """Words numbered as they come, with their ids as slices of one array. At most ``CACHE_WORDS`` plus one chunk's words."""
+    """Words numbered as they come, with their ids as slices of one array.
+
+    Holds at most ``CACHE_WORDS`` and one chunk's words; beyond that the half used least is forgotten and the
+    others get new numbers, which shows in ``generation``.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -30,42 +44,70 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.clear()
+        mark = self.tokenizer.encode(f" {MARK} ", add_special_tokens=False).ids
+        between = self.tokenizer.encode(f"a {MARK} b", add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 and between[1:-1] == mark else None
         self.new: list[bytes] = []
-        self.flat = np.empty(1 << 16, np.uint32)
+        self.generation = 0
         self.used = 0
+        self.flat = np.empty(1 << 16, np.uint32)
         self.starts = np.empty(1 << 14, np.int64)
         self.sizes = np.empty(1 << 14, np.int64)
+        self.hits = np.zeros(1 << 14, np.int64)
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
         self.new.append(word)
         return number
 
+    def forget(self) -> None:
+        n = len(self)
+        keep = np.sort(np.argsort(-self.hits[:n], kind="stable")[: CACHE_WORDS // 2])
+        names = list(self)
+        sizes = self.sizes[keep]
+        ends = np.cumsum(sizes)
+        flat = self.flat[np.repeat(self.starts[keep] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        self.clear()
+        self.update((names[i], number) for number, i in enumerate(keep.tolist()))
+        self.flat, self.used = flat, len(flat)
+        self.starts, self.sizes, self.hits = ends - sizes, sizes, self.hits[keep]
+        self.generation += 1
+
     def learn(self) -> None:
         """Looks up the ids of the words that came since the last call."""
-        first = len(self) - len(self.new)
-        for at in range(0, len(self.new), 4096):
-            part = [word.decode("utf-8", "replace") for word in self.new[at : at + 4096]]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter((i for word in found for i in word), np.uint32, int(sizes.sum()))
+        first, count = len(self) - len(self.new), len(self.new)
+        self.starts, self.sizes = _room(self.starts, first, count), _room(self.sizes, first, count)
+        self.hits = _room(self.hits, first, count)
+        self.hits[first : first + count] = 0
+        for at in range(0, count, 1 << 14):
+            part = self.new[at : at + (1 << 14)]
+            ids, sizes = self.encode([word.decode("utf-8", "replace") for word in part])
             low, high = first + at, first + at + len(part)
             self.flat = _room(self.flat, self.used, len(ids))
-            self.starts, self.sizes = _room(self.starts, low, len(part)), _room(self.sizes, low, len(part))
             self.flat[self.used : self.used + len(ids)] = ids
             self.sizes[low:high] = sizes
             self.starts[low:high] = self.used + np.cumsum(sizes) - sizes
             self.used += len(ids)
         self.new = []
 
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in a row, and each word's number of ids."""
+        if self.mark is None or any(MARK in word for word in words):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array(list(map(len, found)), np.int64)
+        lines = [f" {MARK} ".join([*words[at : at + TOGETHER], ""]) for at in range(0, len(words), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+        marks = np.flatnonzero(ids == self.mark)
+        return np.delete(ids, marks), np.diff(marks, prepend=-1) - 1
+
     def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all texts in a row, and each text's number of words."""
         if len(self) > CACHE_WORDS:
             self.forget()
+        # A task that failed half-way may have left words behind that were never looked up.
+        if self.new:
+            self.learn()
         numbers: list[int] = []
         counts = np.empty(len(texts), np.int64)
         get = self.__getitem__
@@ -75,11 +117,13 @@ class WordIds(dict):
             numbers.extend(map(get, found))
         if self.new:
             self.learn()
-        return np.array(numbers, np.int64), counts
+        numbers = np.array(numbers, np.int64)
+        self.hits[: len(self)] += np.bincount(numbers, minlength=len(self))
+        return numbers, counts
 
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and each text's number of ids."""
-        numbers, counts = self.numbers(texts)
+        numbers, counts = self.numbers([_lowered(text) for text in texts])
         sizes = self.sizes[numbers]
         ends = np.concatenate(([0], np.cumsum(sizes)))
         ids = self.flat[np.repeat(self.starts[numbers] - ends[:-1], sizes) + np.arange(ends[-1])]
@@ -87,6 +131,12 @@ class WordIds(dict):
         return ids, np.diff(ends[bounds])
 
 
+def _lowered(text: bytes) -> bytes:
+    """Lower case where the tokenizer would do the same: fewer different words. Not where composed characters
+    may depend on case, nor where a special token might come about."""
+    return text.lower() if text.isascii() and b"<|" not in text else text
+
+
 def _room(array: np.ndarray, used: int, more: int) -> np.ndarray:
     if used + more <= len(array):
         return array

@@ -1,3 +1,8 @@
+import os
+
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # small matrices; threads only get in each other's way
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
 import pytest
 
 EMPTY = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
