@@ -1,8 +1,106 @@
-"""A training-data pipeline over documents: every stage is one operator of ledgerline.llm."""
+"""A training-data pipeline over documents; every stage is one operator of ``ledgerline.llm``.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as
+the next stage's docs. All but the last return the columns of ``documents``. No SQL can state the trained
+classifier or the packing, so ``tests/llm/test_pipeline.py`` checks the stages against brute force.
+
+Odd input, for every stage: an empty table gives an empty result; null texts count as empty; extra columns
+pass through; documents that repeat a ``doc_id`` are treated as the stage's operator says.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.llm import classifier, mixing, neardup, packing, repeats
+from ledgerline.llm.common import Steps
+
+# Near-duplicates of the pipeline: sets of five words, similarity 0.8.
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble, fitted on ``labels``, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = classifier.fit(*classifier.training_rows(docs, labels))
+    # Statistics read the text; the document's own columns travel beside it in one struct.
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    return classifier.score(whole, model, ["_row"]).where("predicted = 1").select("_row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest ``doc_id``.
+
+    Of rows that share this ``doc_id`` one stays. Documents without words are no near-duplicates and all stay.
+    """
+    found = neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    gone = found.where(~F.col("kept")).select(_key("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, _key("doc_id") == F.col("_gone"), "left_anti")
+    return _without_equal_rows(left)
+
+
+def _without_equal_rows(docs: DataFrame) -> DataFrame:
+    """One row per ``doc_id``, found without moving texts where no id repeats."""
+    twice = docs.groupBy(_key("doc_id").alias("_twice")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_twice")
+    if not twice.take(1):
+        return docs
+    single = docs.join(twice, _key("doc_id") == F.col("_twice"), "left_anti")
+    one = docs.join(twice, _key("doc_id") == F.col("_twice"), "left_semi").groupBy(_key("doc_id").alias("_id")).agg(
+        F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text", "source", "lang")).alias("_row")
+    )
+    return single.unionByName(one.select("_row.*"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of passages that also start earlier in the corpus.
+
+    A cut inside a character removes the whole character. Documents of which nothing but blanks is left go.
+    """
+    steps = Steps(spark)
+    found = steps.table(
+        repeats.dedup(docs).where("n_removed > 0").select(_key("doc_id").alias("_id"), F.col("kept").alias("_kept")).dropDuplicates(["_id"])
+    )
+    # Bytes that are left of a cut character are no UTF-8; they are dropped.
+    cut = F.try_validate_utf8(F.col("_kept").cast("string"))
+    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(
+        F.coalesce(cut, F.replace(F.make_valid_utf8(F.col("_kept").cast("string")), F.lit("�"), F.lit("")))
+    )
+    joined = docs.join(found, _key("doc_id") == F.col("_id"), "left").withColumn("text", text)
+    changed = joined.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
+    return changed.where(F.col("_kept").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's weight asks for; at each source's budget the last one is cut."""
+    steps = Steps(spark)
+    return mixing.taken_documents(docs, steps.table(mixing.mix(docs)))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, each with its place in a sequence of at most 2048 tokens."""
+    return packing.pack(docs)
+
+
+def _key(name: str) -> Column:
+    """An id as a join key that null equals."""
+    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+STAGES = [
+    ("quality_classifier", quality),
+    ("minhash_near_dedup", near_duplicates),
+    ("suffix_repeats", repeated_passages),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    steps = Steps(spark)
+    for _, stage in STAGES[:-1]:
+        docs = steps.table(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -23,10 +23,12 @@ from ledgerline.llm.tokens import chunks
 
 BYTES = 64
 TREES = 16
-# A pair of similarity 0.85 agrees in four given min-hashes with probability 0.52: some tree of 16 has it with
-# 1 - 7e-6. It agrees in fewer than 40 of 64 with 1e-6.
-DEPTH = 4
-LEAST_COMMON = 40
+STEP = BYTES // TREES
+# A pair of similarity 0.8 agrees in three given min-hashes with probability 0.51: some tree of 16 has it with
+# 1 - 1e-5, one of similarity 0.85 with 1 - 3e-7.
+DEPTH = 3
+# Candidates agree in so many of the 64 at least: 4.5 standard deviations below what is expected at the threshold.
+SPREAD = 4.5
 # Neighbours looked at in a region of more classes than that; nearest by common prefix.
 REACH = 32
 NEAR = 2
@@ -131,9 +133,16 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc bigint, n bigint, digest binary, signature binary")
 
 
-def _pairs(tree: np.ndarray, key: np.ndarray, node: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
+def least_common(percent: int) -> int:
+    share = percent / 100
+    return int(BYTES * share - SPREAD * (BYTES * share * (1 - share)) ** 0.5)
+
+
+def _pairs(tree: np.ndarray, key: np.ndarray, node: np.ndarray, least: int, first: int = 0) -> tuple[np.ndarray, ...]:
     """Neighbours among sorted rows: nodes and distance in line. With ``first``, only pairs across that row."""
-    prefix = key[:, :DEPTH].copy().view(np.uint32)[:, 0].astype(np.int64) | tree.astype(np.int64) << 32
+    prefix = tree.astype(np.int64)
+    for i in range(DEPTH):
+        prefix = prefix << 8 | key[:, i]
     left, right, far = [], [], []
     for step in range(1, REACH + 1):
         near = np.flatnonzero(prefix[:-step] == prefix[step:])
@@ -143,7 +152,7 @@ def _pairs(tree: np.ndarray, key: np.ndarray, node: np.ndarray, first: int = 0)
             near = near[(near < first) & (near + step >= first)]
         for at in range(0, len(near), 1 << 16):
             i = near[at : at + (1 << 16)]
-            i = i[(key[i] == key[i + step]).sum(1) >= LEAST_COMMON]
+            i = i[(key[i] == key[i + step]).sum(1) >= least]
             left.append(np.minimum(node[i], node[i + step]))
             right.append(np.maximum(node[i], node[i + step]))
             far.append(np.full(len(i), step, np.int32))
@@ -156,15 +165,16 @@ _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("step", pa.int32()), (
 _EDGE_SQL = "a bigint, b bigint, step int, border int, place int, tree int, key binary"
 
 
-def candidates(steps: Steps, classes: DataFrame) -> DataFrame:
+def candidates(steps: Steps, classes: DataFrame, percent: int = 85) -> DataFrame:
     """Pairs of neighbouring classes in any tree: ``a, b, step`` (least distance in line)."""
     rows = classes.select(
         F.col("rep").alias("node"),
         F.posexplode(
-            F.array(*[F.concat(F.substring("signature", 1 + t * DEPTH, BYTES), F.substring("signature", 1, t * DEPTH)) for t in range(TREES)])
+            F.array(*[F.concat(F.substring("signature", 1 + t * STEP, BYTES), F.substring("signature", 1, t * STEP)) for t in range(TREES)])
         ).alias("tree", "key"),
     )
     total = classes.count() * TREES
+    least = least_common(percent)
     ordered = rows.repartitionByRange(max(1, -(-total // ROWS_EACH)), "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
 
     def neighbours(batches):
@@ -174,7 +184,7 @@ def candidates(steps: Steps, classes: DataFrame) -> DataFrame:
         table = pa.Table.from_batches(parts)
         node, tree = (table.column(c).to_numpy() for c in ("node", "tree"))
         key = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(-1, BYTES)
-        a, b, far = _pairs(tree, key, node)
+        a, b, far = _pairs(tree, key, node, least)
         for at in range(0, len(a), 1 << 16):
             cut = slice(at, at + (1 << 16))
             empty = pa.nulls(len(a[cut]), pa.int32())
@@ -202,7 +212,7 @@ def candidates(steps: Steps, classes: DataFrame) -> DataFrame:
         if not 0 < first < len(frame):
             return pd.DataFrame({"a": [], "b": [], "step": []}).astype({"a": "int64", "b": "int64", "step": "int32"})
         key = np.frombuffer(b"".join(frame["key"]), np.uint8).reshape(-1, BYTES)
-        a, b, far = _pairs(frame["tree"].to_numpy(), key, frame["a"].to_numpy(), first)
+        a, b, far = _pairs(frame["tree"].to_numpy(), key, frame["a"].to_numpy(), least, first)
         return pd.DataFrame({"a": a, "b": b, "step": far})
 
     borders = found.where("border IS NOT NULL").groupBy("border").applyInPandas(across, "a bigint, b bigint, step int")
@@ -264,7 +274,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     classes = steps.table(
         marked.where("n > 0").groupBy("digest").agg(F.min("doc").alias("rep"), F.min("signature").alias("signature"))
     )
-    pairs = steps.table(candidates(steps, classes))
+    pairs = steps.table(candidates(steps, classes, percent))
     # The nearest in line connect most of a family; of the others only pairs that are still apart matter.
     links = confirmed(steps, pairs.where(F.col("step") <= NEAR), source, size, percent)
     found = steps.table(components(steps, links))

@@ -1,3 +1,4 @@
+import functools
 import random
 import zlib
 from collections import defaultdict
@@ -9,9 +10,13 @@ from ledgerline.llm import packing
 from ledgerline.llm.tokens import WordIds, tokenizer_path
 
 
+@functools.cache
+def tokenizer():
+    return Tokenizer.from_file(tokenizer_path())
+
+
 def ids_of(text):
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+    return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def verify(rows, texts):
