@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_WIDTH = 1 << 20
-# Largest n for which Spark prunes `row_number() <= n` before the shuffle
-# (default of spark.sql.optimizer.windowGroupLimitThreshold).
-PRUNED_RANK = 1000
 TOURNAMENT_SALTS = (65536, 256)
 
 
@@ -57,6 +54,27 @@ def position_per_key(
     )
 
 
+def running_sum(df: DataFrame, value: Column, name: str, order: str = "seq", width: int = BUCKET_WIDTH) -> DataFrame:
+    """Adds the sum of ``value`` over all strictly earlier rows, by a unique integer column.
+
+    Buckets of the order are summed up one by one, so one task sees a row per bucket.
+    """
+    rows = df.withColumn("_value", value).withColumn("_bucket", F.expr(f"`{order}` div {int(width)}"))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        rows.groupBy("_bucket")
+        .agg(F.sum("_value").alias("_sum"))
+        .select("_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    )
+    inside = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rows.withColumn("_within", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+        .join(before, "_bucket")
+        .withColumn(name, F.col("_before") + F.col("_within"))
+        .select(*df.columns, name)
+    )
+
+
 def range_per_key(
     df: DataFrame,
     keys: list[str],
@@ -65,31 +83,35 @@ def range_per_key(
     order: str = "id",
     descending: bool = False,
     width: int = BUCKET_WIDTH,
-    few_keys: bool = False,
 ) -> DataFrame:
     """Rows at positions ``start..end`` (0-based, inclusive) of each key, with their ``position``."""
     if start < 0 or end - start + 1 < 0:
         raise ValueError("the range must start at 0 or later and must not have a negative length")
-    if end < PRUNED_RANK:
+    if end < pruned_rank(df):
         column = F.col(order).desc() if descending else F.col(order).asc()
-        first = top_per_key(df, keys, [column], end + 1, order, few_keys).where(F.col("rank") > start)
+        first = top_per_key(df, keys, [column], end + 1).where(F.col("rank") > start)
         return first.withColumn("position", (F.col("rank") - 1).cast("bigint")).drop("rank")
     return position_per_key(df, keys, order, descending, width).where(F.col("position").between(start, end))
 
 
-def top_per_key(
-    df: DataFrame, keys: list[str], by: list[Column], n: int, spread: str = "id", few_keys: bool = False
-) -> DataFrame:
+def pruned_rank(df: DataFrame) -> int:
+    """Largest n for which this session prunes ``row_number() <= n`` before the shuffle."""
+    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+
+
+def top_per_key(df: DataFrame, keys: list[str], by: list[Column], n: int) -> DataFrame:
     """First ``n`` rows of each key in the order ``by``, with their 1-based ``rank``.
 
-    Up to the pruning threshold every scan task sends at most ``n`` rows of a key. With few keys (queues,
-    states) all tasks send to the same few groups, and beyond the threshold nothing is pruned, so there
-    the rows play a tournament: winners of salted sub-groups meet in larger ones.
+    The rows of a key play a tournament: winners of salted sub-groups meet in one group. The salt is the
+    task's partition, so that within the pruning threshold a task sends at most ``n`` rows of a key, and the
+    last group of a hot key holds at most ``n`` rows per salt. Beyond the threshold nothing is pruned in the
+    task, so there are more and finer rounds.
     """
-    salts = TOURNAMENT_SALTS if n > PRUNED_RANK else TOURNAMENT_SALTS[-1:] if few_keys else ()
+    salts = TOURNAMENT_SALTS if n > pruned_rank(df) else TOURNAMENT_SALTS[-1:]
     for salt in salts:
-        sub = Window.partitionBy(*keys, F.pmod(F.xxhash64(spread), F.lit(salt))).orderBy(*by)
-        df = df.withColumn("_rank", F.row_number().over(sub)).where(F.col("_rank") <= n).drop("_rank")
+        df = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt)))
+        sub = Window.partitionBy(F.struct(*keys, "_salt")).orderBy(*by)
+        df = df.withColumn("_rank", F.row_number().over(sub)).where(F.col("_rank") <= n).drop("_rank", "_salt")
     # The struct keeps the pruning ahead of a shuffle also when rows come from a join on the keys.
     rank = F.row_number().over(Window.partitionBy(F.struct(*keys)).orderBy(*by))
     return df.withColumn("rank", rank).where(F.col("rank") <= n)

@@ -16,13 +16,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.clock import plus_seconds, plus_whole_seconds
 from ledgerline.functions.payload import json_or_default
-from ledgerline.functions.ranking import carry_last
+from ledgerline.functions.ranking import carry_last, running_sum
 from ledgerline.operators.keys import group, merged
 from ledgerline.session import stored
 
-# Ids of a new job's parameters are spaced so that jobs cannot collide; more parameters raise.
-PARAMETERS_PER_JOB = 1000
-
 
 def committed_commands(commands: DataFrame, transactions: DataFrame | None = None) -> DataFrame:
     """Commands of committed transactions, by the ``committed`` flag or a frame of committed ids."""
@@ -44,7 +41,9 @@ def reject_unknown_jobs(commands: DataFrame, job: DataFrame) -> tuple[DataFrame,
 
 def create_jobs(requests: DataFrame, first_id: int = 0, first_parameter_id: int = 0) -> tuple[DataFrame, DataFrame]:
     """(job rows, jobparameter rows) for requests
-    ``(seq, invocationdata, arguments, createdat, expire_in, parameters map)``."""
+    ``(seq, invocationdata, arguments, createdat, expire_in, parameters map)``.
+
+    Parameters are numbered from ``first_parameter_id`` on, in the order of ``seq`` and of the map."""
     job_id = (F.lit(first_id) + F.col("seq")).cast("bigint")
     jobs = requests.select(
         job_id.alias("id"),
@@ -55,11 +54,10 @@ def create_jobs(requests: DataFrame, first_id: int = 0, first_parameter_id: int
         "createdat",
         plus_seconds(F.col("createdat"), F.col("expire_in")).alias("expireat"),
     )
-    slot = F.when(F.col("_pos") < PARAMETERS_PER_JOB, F.col("_pos")).otherwise(
-        F.raise_error(F.lit(f"a job has more than {PARAMETERS_PER_JOB} parameters")).cast("int")
-    )
-    parameters = requests.select("seq", F.posexplode(F.map_entries("parameters")).alias("_pos", "_entry")).select(
-        (F.lit(first_parameter_id) + F.col("seq") * PARAMETERS_PER_JOB + slot).cast("bigint").alias("id"),
+    count = F.coalesce(F.size("parameters"), F.lit(0))
+    numbered = running_sum(requests.select("seq", "parameters"), F.greatest(count, F.lit(0)), "_earlier")
+    parameters = numbered.select("seq", "_earlier", F.posexplode(F.map_entries("parameters")).alias("_pos", "_entry")).select(
+        (F.lit(first_parameter_id) + F.col("_earlier") + F.col("_pos")).cast("bigint").alias("id"),
         job_id.alias("jobid"),
         F.col("_entry.key").alias("name"),
         F.col("_entry.value").alias("value"),

@@ -36,9 +36,13 @@ def apply_list(
     by_key = key_commands(commands, _keeps_nothing())
     trims = commands.where(F.col("op") == "trim").select("seq", "key", "trim_from", "trim_to")
     negative = F.col("trim_to") < F.col("trim_from") - 1
-    checked = trims.agg(F.count_if(~_empty()).alias("positional"), F.count_if(negative).alias("negative")).first()
-    if checked["negative"]:
-        raise ValueError("a trim must not keep a negative number of rows")
+    checked = trims.agg(
+        F.count_if(~_empty()).alias("positional"),
+        F.count_if(negative).alias("negative"),
+        F.count_if(F.col("trim_from") < 0).alias("before"),
+    ).first()
+    if checked["negative"] or checked["before"]:
+        raise ValueError("a trim must start at 0 or later and must not keep a negative number of rows")
     born = lists.select("id", "key", "value", "expireat", F.lit(-1).cast("bigint").alias("_born")).unionByName(
         commands.where(F.col("op") == "insert").select(
             (F.lit(first_id) + F.col("seq")).cast("bigint").alias("id"),
@@ -63,7 +67,10 @@ def apply_list(
         small = sizes.where(F.col("_rows") <= fold_rows).select("key")
         large = sizes.where(F.col("_rows") > fold_rows).select("key")
         untrimmed = _without_removed(born.join(sizes.select("key"), "key", "left_anti"), removes)
-        folded = _fold_in_rows(*[df.join(small, "key", "left_semi") for df in (born, removes, trims)])
+        # No such list reaches beyond its own rows, so positions above may be cut to an integer's range.
+        most = F.lit(fold_rows + 1).cast("bigint")
+        short = trims.withColumns({c: F.least(F.col(c).cast("bigint"), most) for c in ("trim_from", "trim_to")})
+        folded = _fold_in_rows(*[df.join(small, "key", "left_semi") for df in (born, removes, short)])
         alive = untrimmed.unionByName(folded)
         if not large.isEmpty():
             parts = [df.join(large, "key", "left_semi") for df in (born, removes, trims)]

@@ -17,19 +17,20 @@ from ledgerline.sources.schemas import EXPIRING_TABLES
 COMPACTED_COUNTERS = ("stats:succeeded", "stats:deleted")
 
 
-def counter_rollup(counter: DataFrame, aggregated: DataFrame) -> tuple[DataFrame, DataFrame]:
+def counter_rollup(counter: DataFrame, aggregated: DataFrame, first_id: int = 0) -> tuple[DataFrame, DataFrame]:
     """Next (aggregatedcounter, counter): every delta is summed into its key's rolled-up value.
 
     A key with new deltas takes their latest expiry, even NULL; the maximum ignores NULLs, so one
-    expiring delta makes a key expire. A new key gets its lowest delta id. Both results come from one
-    snapshot, so no delta is lost, and all deltas are consumed.
+    expiring delta makes a key expire. Both results come from one snapshot, so no delta is lost, and all
+    deltas are consumed. The two tables number their rows apart: a new key gets ``first_id`` plus its lowest
+    delta id, so ``first_id`` must lie above the ids of rolled-up counters.
     """
     deltas = counter.groupBy("key").agg(
         F.min("id").alias("_id"), F.sum("value").alias("_value"), F.max("expireat").alias("_expireat")
     )
     fresh = F.col("_id").isNotNull()
     rolled = merged(aggregated, deltas, ["key"]).select(
-        F.coalesce("id", "_id").alias("id"),
+        F.coalesce(F.col("id"), F.lit(first_id) + F.col("_id")).cast("bigint").alias("id"),
         "key",
         (F.coalesce("value", F.lit(0)) + F.coalesce("_value", F.lit(0))).alias("value"),
         F.when(fresh, F.col("_expireat")).otherwise(F.col("expireat")).alias("expireat"),

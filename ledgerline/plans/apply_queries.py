@@ -43,10 +43,10 @@ FROM ll_job_requests""",
 query(
     "create_job_parameters",
     f"""
-SELECT {FIRST_ID} + seq * 1000 AS id, {FIRST_ID} + seq AS jobid, 'RetryCount' AS name, retries AS value
+SELECT {FIRST_ID} + 2 * (row_number() OVER (ORDER BY seq) - 1) AS id, {FIRST_ID} + seq AS jobid, 'RetryCount' AS name, retries AS value
 FROM ll_job_requests
 UNION ALL
-SELECT {FIRST_ID} + seq * 1000 + 1, {FIRST_ID} + seq, 'Priority', priority FROM ll_job_requests""",
+SELECT {FIRST_ID} + 2 * (row_number() OVER (ORDER BY seq) - 1) + 1, {FIRST_ID} + seq, 'Priority', priority FROM ll_job_requests""",
 )(lambda ledger: apply.create_jobs(_job_requests(ledger), FIRST_ID, FIRST_ID)[1])
 
 

@@ -78,12 +78,12 @@ SELECT o_orderkey * 2 AS id,
        CASE WHEN o_orderkey % 4 = 0 THEN NULL
             ELSE {TS:1999-01-01 00:00:00} - (o_orderkey % 60) * INTERVAL '1' MINUTE END AS fetchedat,
        CAST(o_orderkey % 3 AS INT) AS updatecount
-FROM @orders WHERE o_orderstatus <> 'F'
+FROM @orders
 UNION ALL
 SELECT o_orderkey * 2 + 1, o_orderkey, lower(substr(o_orderpriority, 3)),
        CASE WHEN o_orderkey % 3 = 0 THEN NULL
             ELSE {TS:1999-01-01 00:00:00} - (o_orderkey % 45) * INTERVAL '1' MINUTE END, 0
-FROM @orders WHERE o_totalprice > 400000""",
+FROM @orders WHERE o_orderpriority = '1-URGENT'""",
     # A second queue source: one waiting row per document.
     "jobqueue_documents": """
 SELECT CAST(doc_id AS BIGINT) AS id, CAST(doc_id AS BIGINT) AS jobid, lang AS queue,
@@ -157,7 +157,7 @@ FROM ll_cmd_base""",
 SELECT c_custkey AS id, 'k' || CAST(CAST((c_custkey - c_custkey % 10) / 10 AS BIGINT) AS STRING) AS key,
        'v' || CAST(c_custkey % 10 AS STRING) AS item, c_acctbal AS score,
        CASE WHEN c_custkey % 4 = 0 THEN {TS:2024-02-15 00:00:00} ELSE NULL END AS expireat
-FROM @customer WHERE c_acctbal > 0""",
+FROM @customer""",
     # Lists know no whole-key removal; a trim that keeps nothing has the same effect.
     "list_commands": """
 SELECT seq, txn_id, committed, ts, key, item,

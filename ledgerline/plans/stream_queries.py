@@ -12,6 +12,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.plans.apply_queries import FIRST_ID
 from ledgerline.plans.mapping import Ledger, stream_view
 from ledgerline.plans.registry import query
 from ledgerline.plans.upkeep_queries import ROLLUP_CHECK
@@ -40,7 +41,7 @@ def _rollup(ledger: Ledger) -> DataFrame:
     store = SnapshotStore(ledger.spark, f"{folder}/store")
     base = store.publish({"aggregatedcounter": ledger["aggregatedcounter"]})
     deltas = stream_view(ledger, "counter")
-    runs.rollup_stream(deltas, store, base, f"{folder}/checkpoint", available_now=True).awaitTermination()
+    runs.rollup_stream(deltas, store, base, f"{folder}/checkpoint", available_now=True, first_id=FIRST_ID).awaitTermination()
     return store.read("aggregatedcounter")
 
 
@@ -72,8 +73,9 @@ FROM ll_job_commands WHERE committed AND op = 'set_state' GROUP BY jobid""",
 def _job_states(ledger: Ledger) -> DataFrame:
     folder = _run_folder(ledger)
     moves = stream_view(ledger, "job_commands").where(F.col("committed") & (F.col("op") == "set_state"))
-    changes = runs.state_changes(moves)
-    runs.to_batches(changes, f"{folder}/out", f"{folder}/checkpoint", "update", available_now=True).awaitTermination()
+    runs.to_batches(
+        moves, f"{folder}/out", f"{folder}/checkpoint", available_now=True, shape=runs.state_changes
+    ).awaitTermination()
     return runs.current_states(ledger.spark, f"{folder}/out")
 
 
@@ -138,5 +140,5 @@ def _new_work(ledger: Ledger) -> DataFrame:
     runs.to_batches(
         enqueues, f"{folder}/out", f"{folder}/checkpoint", available_now=True, shape=runs.new_work
     ).awaitTermination()
-    announced = ledger.spark.read.parquet(f"{folder}/out")
+    announced = ledger.spark.read.schema("queue string, enqueued bigint, last_seq bigint").parquet(f"{folder}/out")
     return announced.groupBy("queue").agg(F.sum("enqueued").alias("enqueued"), F.max("last_seq").alias("last_seq"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 from ledgerline.operators import maintain
+from ledgerline.plans.apply_queries import FIRST_ID
 from ledgerline.plans.mapping import ASOF_EVENTS, ASOF_JOBS, Ledger
 from ledgerline.plans.registry import query
 from ledgerline.session import new_folder
@@ -13,17 +14,17 @@ from ledgerline.sources.snapshots import SnapshotStore
 
 CLOCKS = {name: ASOF_JOBS if name in ("job", "list") else ASOF_EVENTS for name in EXPIRING_TABLES}
 
-ROLLUP_CHECK = """
+ROLLUP_CHECK = f"""
 WITH d AS (SELECT min(id) AS id, key, sum(value) AS value, max(expireat) AS expireat FROM ll_counter GROUP BY key)
 SELECT a.id, a.key, CAST(a.value + d.value AS BIGINT) AS value, d.expireat
 FROM ll_aggregatedcounter a JOIN d ON d.key = a.key
 UNION ALL
-SELECT id, key, CAST(value AS BIGINT), expireat FROM d WHERE key NOT IN (SELECT key FROM ll_aggregatedcounter)
+SELECT {FIRST_ID} + id, key, CAST(value AS BIGINT), expireat FROM d WHERE key NOT IN (SELECT key FROM ll_aggregatedcounter)
 UNION ALL
 SELECT id, key, value, expireat FROM ll_aggregatedcounter WHERE key NOT IN (SELECT key FROM d)"""
 
 query("counter_rollup", ROLLUP_CHECK)(
-    lambda ledger: maintain.counter_rollup(ledger["counter"], ledger["aggregatedcounter"])[0]
+    lambda ledger: maintain.counter_rollup(ledger["counter"], ledger["aggregatedcounter"], FIRST_ID)[0]
 )
 
 query(
@@ -86,8 +87,11 @@ SELECT CAST(id AS BIGINT) AS id, jobid, queue, fetchedat, CAST(0 AS INT) AS upda
 def _published(ledger: Ledger):
     store = SnapshotStore(ledger.spark, new_folder(ledger.spark))
     tables = {name: ledger[name].select(*SCHEMAS[name].names) for name in ("jobqueue", "server")}
-    version = store.publish(tables, cluster_by={"jobqueue": ["queue", "fetchedat"]})
-    return store.read("jobqueue", version)
+    store.publish(tables, cluster_by={"jobqueue": ["queue", "fetchedat"]})
+    # The next version leaves the queue as it is.
+    store.publish({"server": tables["server"]})
+    store.drop_before(store.current())
+    return store.read("jobqueue")
 
 
 @query(

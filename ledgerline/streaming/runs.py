@@ -50,8 +50,10 @@ def rollup_stream(
     checkpoint: str,
     available_now: bool = False,
     interval: str = "5 minutes",
+    first_id: int = 0,
 ) -> StreamingQuery:
-    """Counter rollup of a delta stream ``(id, key, value, expireat)`` into the snapshots of ``store``.
+    """Counter rollup of a delta stream ``(id, key, value, expireat)`` into the snapshots of ``store``; new keys
+    are numbered as in ``counter_rollup``.
 
     Micro-batch n publishes version ``base_version + 1 + n``. A replayed batch finds its version
     published and does nothing, so no delta counts twice.
@@ -60,15 +62,15 @@ def rollup_stream(
     def merge(batch: DataFrame, batch_id: int) -> None:
         version = base_version + 1 + batch_id
         if not store.is_published(version):
-            rolled, _ = counter_rollup(batch, store.read("aggregatedcounter", version - 1))
+            rolled, _ = counter_rollup(batch, store.read("aggregatedcounter", version - 1), first_id)
             store.publish({"aggregatedcounter": rolled}, version)
 
     return _started(deltas.writeStream.foreachBatch(merge), checkpoint, available_now, interval)
 
 
 def state_changes(changes: DataFrame) -> DataFrame:
-    """Latest state per job of a change stream ``(seq, jobid, name)``, for update mode: each batch
-    yields the jobs that moved. Changes of one job are combined before the shuffle."""
+    """Latest state per job of a batch of changes ``(seq, jobid, name)``: the jobs that moved. Changes of one job
+    are combined before the shuffle. ``current_states`` merges batches by ``seq``, so no state is kept."""
     return (
         changes.groupBy("jobid")
         .agg(F.max(F.struct("seq", "name")).alias("latest"))
@@ -77,8 +79,8 @@ def state_changes(changes: DataFrame) -> DataFrame:
 
 
 def current_states(spark: SparkSession, path: str) -> DataFrame:
-    """Current state per job from the batches of ``state_changes``."""
-    moves = spark.read.parquet(path)
+    """Current state per job from the batches of ``state_changes``; none before the first batch."""
+    moves = spark.read.schema("jobid bigint, seq bigint, name string").parquet(path)
     return moves.groupBy("jobid").agg(F.max("seq").alias("seq"), F.max_by("name", "seq").alias("statename"))
 
 

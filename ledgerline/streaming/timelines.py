@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ledgerline.functions.clock import watermarked, without_zone
 from ledgerline.operators.monitor import STATS_PREFIX
@@ -19,7 +19,7 @@ def timeline_stream(events: DataFrame, width: str = "1 hour", delay: str = "1 ho
     """Totals per kind and closed tumbling window of a stream ``(ts, kind, delta)``.
 
     A window is emitted once, after the watermark passes its end; later rows for it are dropped
-    (see ``late_rows``).
+    (see ``LateRows``).
     """
     slots = watermarked(events, delay).groupBy(F.window("ts", width), "kind").agg(F.sum("delta").alias("n"))
     label = F.date_format(F.col("window.start"), LABELS[width])
@@ -31,13 +31,28 @@ def timeline_stream(events: DataFrame, width: str = "1 hour", delay: str = "1 ho
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the query's stateful operators dropped as later than the watermark (recent progress only)."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts rows that stateful operators dropped as later than the watermark, over all batches of every query.
+
+    Add it with ``spark.streams.addListener`` before a query starts; ``dropped`` holds totals by query id.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        query = str(event.progress.id)
+        self.dropped[query] = self.dropped.get(query, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def liveness_stream(beats: DataFrame, timeout: timedelta, delay: str = "1 hour") -> DataFrame:

@@ -77,7 +77,17 @@ def test_create_job_with_parameters(frame):
     jobs, parameters = apply.create_jobs(requests, BASE, BASE)
     row = jobs.first()
     assert (row.id, row.invocationdata, row.arguments, row.expireat) == (BASE + 1, "{}", "[]", NOW + timedelta(seconds=1.5))
-    assert sorted(tuples(parameters)) == [(BASE + 1000, BASE + 1, "a", "1"), (BASE + 1001, BASE + 1, "b", None)]
+    assert sorted(tuples(parameters)) == [(BASE, BASE + 1, "a", "1"), (BASE + 1, BASE + 1, "b", None)]
+
+
+def test_jobs_may_have_any_number_of_parameters(spark):
+    many = spark.range(1, 4).selectExpr(
+        "id AS seq", "'' AS invocationdata", "'' AS arguments", "timestamp_ntz'2024-01-01 00:00:00' AS createdat", "1.0D AS expire_in",
+        "CASE id WHEN 2 THEN NULL ELSE map_from_arrays(transform(sequence(1, 5000), i -> 'p' || i), transform(sequence(1, 5000), i -> 'v')) END AS parameters",
+    )
+    rows = apply.create_jobs(many, BASE, BASE)[1].collect()
+    assert sorted(r.id for r in rows) == list(range(BASE, BASE + 10000))
+    assert {r.jobid for r in rows if r.id < BASE + 5000} == {BASE + 1}
 
 
 def test_enqueue_allows_duplicates(frame):

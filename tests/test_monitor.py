@@ -112,3 +112,21 @@ def test_servers_decode_their_payload(frame):
     assert (row.name, row.workers_count, row.queues, row.started_at) == ("s", 3, ["a", "b"], datetime(2024, 1, 2))
     bare = frame([("s", "{}", NOW)], "id STRING, data STRING, lastheartbeat TIMESTAMP")
     assert monitor.servers(bare).selectExpr("CAST(started_at AS STRING)").first()[0].startswith("0001-01-01")
+
+
+def test_payload_keys_that_differ_in_case_and_zones(spark):
+    from ledgerline.functions.payload import state_fields, utc_time
+
+    rows = spark.createDataFrame([('{"a":"1","A":"2","b":"3"}',), ("broken",), (None,)], "data STRING")
+    got = [r[0] for r in rows.select(state_fields(rows.data)).collect()]
+    assert got[0] == {"a": "2", "b": "3"} and not got[2]
+    texts = ["2024-03-01T12:00:00Z", "2024-03-01T12:00:00.5+02:00", "2024-03-01T12:00:00", "2024-11-03T05:30:00Z", "x", None]
+    times = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            found = [None if r[0] is None else str(r[0]) for r in times.select(utc_time(times.t)).collect()]
+            assert found == ["2024-03-01 12:00:00", "2024-03-01 10:00:00.500000", "2024-03-01 12:00:00", "2024-11-03 05:30:00", None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

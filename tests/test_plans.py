@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from ledgerline.operators import apply, collections, maintain, monitor, queues
 from ledgerline.plans.mapping import ASOF_EVENTS, ASOF_JOBS, Ledger
+from ledgerline.plans.registry import all_queries
 from ledgerline.sources.schemas import SCHEMAS
 from ledgerline.sources.snapshots import SnapshotStore
 
@@ -35,7 +36,7 @@ def scans(df) -> list[str]:
     return re.findall(r"\(\d+\) Scan parquet.*?(?=\n\n|\Z)", formatted(df), re.S)
 
 
-BATCH = [name for name in entry.queries() if not name.startswith("stream_")]
+BATCH = [name for name in all_queries() if not name.startswith("stream_")]
 
 
 @pytest.mark.parametrize("name", BATCH)

@@ -31,7 +31,7 @@ def test_position_matches_sorting(frame, width, descending):
 def test_range_is_the_same_pruned_or_bucketed(frame, monkeypatch):
     data = frame(rows(2), ROWS)
     pruned = sorted(tuples(ranking.range_per_key(data, ["key"], 3, 40)))
-    monkeypatch.setattr(ranking, "PRUNED_RANK", 0)
+    monkeypatch.setattr(ranking, "pruned_rank", lambda df: 0)
     assert sorted(tuples(ranking.range_per_key(data, ["key"], 3, 40, width=13))) == pruned
 
 
@@ -49,7 +49,7 @@ def test_top_is_the_same_with_a_tournament(frame, monkeypatch):
     data = frame(rows(3), ROWS)
     by = [F.col("value"), F.col("id")]
     plain = sorted(tuples(ranking.top_per_key(data, ["key"], by, 9)))
-    monkeypatch.setattr(ranking, "PRUNED_RANK", 0)
+    monkeypatch.setattr(ranking, "pruned_rank", lambda df: 0)
     assert sorted(tuples(ranking.top_per_key(data, ["key"], by, 9))) == plain
 
 

@@ -53,6 +53,21 @@ def test_old_versions_can_go_but_not_the_newest(spark, frame, tmp_path):
         store.read("counter", 0)
 
 
+def test_a_version_keeps_the_tables_it_does_not_publish(spark, frame, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    rows = frame([(1, "k", 5, NOW)], "id LONG, key STRING, value LONG, expireat TIMESTAMP")
+    server = frame([("s", "{}", NOW)], "id STRING, data STRING, lastheartbeat TIMESTAMP")
+    store.publish({"counter": rows, "aggregatedcounter": rows, "server": server})
+    for _ in range(3):
+        store.publish({"counter": rows.limit(0), "aggregatedcounter": rows})
+    assert store.read("server").count() == 1 and store.read("counter").count() == 0
+    assert store.read("server", 1).count() == 1 and store.read("counter", 0).count() == 1
+    store.drop_before(store.current())
+    assert tuples(store.read("server")) == [("s", "{}", NOW)] and store.read("aggregatedcounter").count() == 1
+    with pytest.raises(ValueError):
+        store.read("list")
+
+
 def test_publishing_a_version_twice_changes_nothing(spark, frame, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     rows = frame([(1, "k", 5, NOW)], "id LONG, key STRING, value LONG, expireat TIMESTAMP")

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -58,7 +59,9 @@ def test_rollup_equals_batch_and_survives_replay(spark, frame, stream, tmp_path)
     assert run("second") == {r.key: r.value for r in want.collect()}
 
 
-def test_timeline_drops_and_counts_late_rows(stream, emitted):
+def test_timeline_drops_and_counts_late_rows(spark, stream, emitted):
+    late = timelines.LateRows()
+    spark.streams.addListener(late)
     batches = [
         [(at(0), "succeeded", 1), (at(59), "succeeded", 1), (at(61), "failed", 1)],
         [(at(200), "succeeded", 1)],
@@ -71,7 +74,12 @@ def test_timeline_drops_and_counts_late_rows(stream, emitted):
         ("failed", at(60), "stats:failed:2024-05-01-13", 1),
         ("succeeded", at(0), "stats:succeeded:2024-05-01-12", 2),
     ]
-    assert timelines.late_rows(query) == 1
+    for _ in range(100):  # progress is reported from another thread
+        if late.dropped.get(str(query.id)):
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.dropped[str(query.id)] == 1
 
 
 def test_silence_is_reported_once_per_gap(stream, emitted):
