@@ -30,8 +30,8 @@ DEPTH = 3
 # Candidates agree in so many of the 64 at least: 4.5 standard deviations below what is expected at the threshold.
 SPREAD = 4.5
 # Neighbours looked at in a region of more classes than that; nearest by common prefix.
-REACH = 32
-NEAR = 2
+REACH = 16
+NEAR = 1
 ROWS_EACH = 200_000
 CACHE_WORDS = 300_000
 
@@ -222,7 +222,8 @@ def candidates(steps: Steps, classes: DataFrame, percent: int = 85) -> DataFrame
 
 def confirmed(steps: Steps, pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose full shingle sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
+    # Neither side of these joins has a bound on its size, so none is broadcast.
+    needed = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct().hint("merge")
 
     def build(batches):
         words = WordHashes()
@@ -236,8 +237,8 @@ def confirmed(steps: Steps, pairs: DataFrame, docs: DataFrame, size: int, percen
                 )
 
     sets = steps.table(docs.join(needed, "doc").mapInArrow(build, "doc bigint, members binary"))
-    left = sets.select(F.col("doc").alias("a"), F.col("members").alias("one"))
-    right = sets.select(F.col("doc").alias("b"), F.col("members").alias("other"))
+    left = sets.select(F.col("doc").alias("a"), F.col("members").alias("one")).hint("merge")
+    right = sets.select(F.col("doc").alias("b"), F.col("members").alias("other")).hint("merge")
 
     def compare(batches):
         for batch in batches:
