@@ -37,7 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
     gone = found.where(~F.col("kept")).select(_key("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, _key("doc_id") == F.col("_gone"), "left_anti")
+    # The list grows with the corpus, so it is not broadcast.
+    left = docs.join(gone.hint("merge"), _key("doc_id") == F.col("_gone"), "left_anti")
     return _without_equal_rows(left)
 
 
@@ -67,7 +68,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(
         F.coalesce(cut, F.replace(F.make_valid_utf8(F.col("_kept").cast("string")), F.lit("�"), F.lit("")))
     )
-    joined = docs.join(found, _key("doc_id") == F.col("_id"), "left").withColumn("text", text)
+    joined = docs.join(found.hint("merge"), _key("doc_id") == F.col("_id"), "left").withColumn("text", text)
     changed = joined.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
     return changed.where(F.col("_kept").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
 

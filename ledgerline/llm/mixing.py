@@ -113,7 +113,7 @@ def taken_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
         F.max_by(F.struct("taken", "size"), F.struct("taken", "size")).alias("_share")
     )
     copies = F.expr("transform(sequence(0, int(ceil(_share.taken / _share.size)) - 1), i -> least(_share.size, _share.taken - i * _share.size))")
-    rows = docs.join(shares, docs["doc_id"].cast("bigint").eqNullSafe(shares["_of"])).withColumn("_words", F.explode(copies))
+    rows = docs.join(shares.hint("merge"), docs["doc_id"].cast("bigint").eqNullSafe(shares["_of"])).withColumn("_words", F.explode(copies))
     # Pieces of blanks and one word each, so that the text up to a word is kept as it is.
     pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.array_join(F.slice(pieces, F.lit(1), F.greatest(F.col("_words"), F.lit(1)).cast("int")), "")

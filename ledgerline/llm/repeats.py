@@ -230,7 +230,7 @@ def blocks(wanted: DataFrame, docs: DataFrame, span: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=_BLOCK)
 
     listed = wanted.groupBy("doc").agg(F.collect_list(F.struct("low", "n", "at")).alias("runs"))
-    return docs.join(listed, "doc").select("doc", "text", "runs").mapInArrow(
+    return docs.join(listed.hint("merge"), "doc").select("doc", "text", "runs").mapInArrow(
         cut, "core bigint, `left` bigint, `right` bigint, j_low int, j_high int, doc bigint, low bigint, n int"
     )
 
@@ -339,7 +339,7 @@ def dedup(docs: DataFrame, span: int = SPAN) -> DataFrame:
                     schema=_RESULT,
                 )
 
-    result = source.join(listed, "doc", "left").mapInArrow(
+    result = source.join(listed.hint("merge"), "doc", "left").mapInArrow(
         remove, "doc bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, n_removed bigint, kept binary"
     )
     return result.select(F.when(F.col("doc") != -(1 << 63), F.col("doc")).alias("doc_id"), "n_bytes", "spans", "n_removed", "kept")
