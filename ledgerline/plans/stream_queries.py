@@ -98,11 +98,17 @@ WHERE (next IS NULL OR next >= ts + INTERVAL '30' MINUTE) AND ts + INTERVAL '30'
 query(
     "stream_lease_expiry",
     f"""
-WITH last AS (SELECT id, arg_max(op, seq) FILTER (WHERE op IN ('fetch', 'requeue', 'ack')) AS turn,
-                     arg_max(ts, seq) FILTER (WHERE op IN ('fetch', 'keep_alive')) AS touch
-              FROM ll_lease_commands GROUP BY id)
-SELECT id, touch AS fetchedat, touch + INTERVAL '30' MINUTE AS expired_at FROM last
-WHERE turn = 'fetch' AND touch + INTERVAL '30' MINUTE < {_FINAL}""",
+WITH turns AS (
+  SELECT *, last_value(CASE WHEN op <> 'keep_alive' THEN op END IGNORE NULLS)
+              OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS turn
+  FROM ll_lease_commands),
+gone AS (SELECT id, min(seq) AS gone FROM turns WHERE op = 'ack' AND turn = 'fetch' GROUP BY id),
+acting AS (
+  SELECT id, seq, ts, op, lead(ts) OVER (PARTITION BY id ORDER BY seq) AS next
+  FROM turns LEFT JOIN gone USING (id) WHERE (gone IS NULL OR seq <= gone) AND (op = 'fetch' OR turn = 'fetch'))
+SELECT id, ts AS fetchedat, ts + INTERVAL '30' MINUTE AS expired_at FROM acting
+WHERE op IN ('fetch', 'keep_alive')
+  AND (next > ts + INTERVAL '30' MINUTE OR (next IS NULL AND ts + INTERVAL '30' MINUTE < {_FINAL}))""",
 )(lambda ledger: _emitted(ledger, timers.lease_stream(stream_view(ledger, "lease_commands"), TIMEOUT, DELAY)))
 
 query(
@@ -114,10 +120,11 @@ query(
     # The watermark follows the commands that the stream lets through.
     "stream_key_expiry",
     """
-WITH touches AS (SELECT * FROM ll_keyed_commands WHERE committed AND op IN ('expire', 'persist')),
-last AS (SELECT key, expire_at, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM touches)
-SELECT key, expire_at AS expireat FROM last
-WHERE rn = 1 AND expire_at < (SELECT max(ts) - INTERVAL '1' HOUR FROM touches)""",
+WITH touches AS (
+  SELECT key, expire_at, ts, lead(ts) OVER (PARTITION BY key ORDER BY seq) AS next
+  FROM ll_keyed_commands WHERE committed AND op IN ('expire', 'persist'))
+SELECT key, expire_at AS expireat FROM touches
+WHERE next > expire_at OR (next IS NULL AND expire_at < (SELECT max(ts) - INTERVAL '1' HOUR FROM touches))""",
 )(
     lambda ledger: _emitted(
         ledger,

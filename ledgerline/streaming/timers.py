@@ -1,7 +1,7 @@
 """Event-time timers per key, where no built-in window fits.
 
-State per key is a few numbers. A batch's rows are reduced one by one to "the latest entry of each
-kind by seq", so neither the order of rows nor the size of a key's batch matters.
+State per key is a few numbers. A key's entries of a batch are taken in the order of ``seq``, and expiry is
+decided between one entry and the next, so results do not depend on how the log is cut into batches.
 """
 
 from __future__ import annotations
@@ -35,11 +35,6 @@ class _Timed(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("state", self.state_schema)
 
-    @staticmethod
-    def overdue(timer: int, timerValues) -> bool:
-        """Whether the timer is due in the batch at hand, whose rows come before its timers."""
-        return 0 < timer <= timerValues.getCurrentWatermarkInMs()
-
     def rearm(self, timer: int, micros: int | None) -> int:
         wanted = 0 if micros is None else _millis_after(micros)
         if wanted != timer:
@@ -54,51 +49,59 @@ class _Timed(StatefulProcessor):
 
 
 class LeaseMonitor(_Timed):
-    """Emits a queue row when its lease runs out. Input: seq, id, micros, op."""
+    """Emits a queue row each time its lease runs out. Input: seq, id, micros, op.
+
+    Follows the log entry by entry in the order of ``seq``, so it does not matter how entries are cut into
+    batches. An acknowledged row is remembered as gone.
+    """
 
-    state_schema = "turn_seq LONG, turn STRING, touch_seq LONG, touch LONG, timer LONG"
+    state_schema = "seq LONG, held BOOLEAN, gone BOOLEAN, touch LONG, pending BOOLEAN, timer LONG"
 
     def __init__(self, timeout_micros: int):
         self.timeout = timeout_micros
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        turn_seq, turn, touch_seq, touch, timer = self.state.get() or (-1, "", -1, -1, 0)
-        if turn == "fetch" and self.overdue(timer, timerValues):
-            yield self.expired(key, touch)
-        for row in rows:
-            if row.op in ("fetch", "requeue", "ack") and row.seq > turn_seq:
-                turn_seq, turn = row.seq, row.op
-            if row.op in ("fetch", "keep_alive") and row.seq > touch_seq:
-                touch_seq, touch = row.seq, row.micros
-        # A lease that has ended keeps its state until then too, for entries that arrive out of order.
-        timer = self.rearm(timer, touch + self.timeout if touch_seq >= 0 else None)
-        self.state.update((turn_seq, turn, touch_seq, touch, timer))
+        seq, held, gone, touch, pending, timer = self.state.get() or (-1, False, False, -1, False, 0)
+        for row in sorted(rows, key=lambda r: r.seq):
+            if gone or row.seq <= seq:
+                continue
+            seq = row.seq
+            if pending and row.micros > touch + self.timeout:
+                pending = False
+                yield self.expired(key, touch)
+            if row.op == "fetch" or (held and row.op == "keep_alive"):
+                held, touch, pending = True, row.micros, True
+            elif held:
+                held, pending, gone = False, False, row.op == "ack"
+        timer = self.rearm(timer, touch + self.timeout if pending else None)
+        if held or gone:
+            self.state.update((seq, held, gone, touch, pending, timer))
+        else:
+            self.state.clear()
 
     def expired(self, key, touch: int) -> Row:
         return Row(id=key[0], fetched=touch, expired=touch + self.timeout)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        turn_seq, turn, touch_seq, touch, _ = self.state.get()
-        if turn == "fetch":
-            # The holder may still keep the lease alive, so the state stays.
-            self.state.update((turn_seq, turn, touch_seq, touch, 0))
-            yield self.expired(key, touch)
-        else:
-            self.state.clear()
+        seq, held, gone, touch, _, _ = self.state.get()
+        # The holder may still keep the lease alive, so the state stays.
+        self.state.update((seq, held, gone, touch, False, 0))
+        yield self.expired(key, touch)
 
 
 class ExpiryMonitor(_Timed):
-    """Emits a key's tombstone when it expires. Input: seq, key, deadline (NULL = never)."""
+    """Emits a key's tombstone each time it expires. Input: seq, key, micros, deadline (NULL = never)."""
 
     state_schema = "seq LONG, deadline LONG, timer LONG"
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         seq, deadline, timer = self.state.get() or (-1, None, 0)
-        if self.overdue(timer, timerValues):
-            yield self.expired(key, deadline)
-        for row in rows:
-            if row.seq > seq:
-                seq, deadline = row.seq, row.deadline
+        for row in sorted(rows, key=lambda r: r.seq):
+            if row.seq <= seq:
+                continue
+            if deadline is not None and row.micros > deadline:
+                yield self.expired(key, deadline)
+            seq, deadline = row.seq, row.deadline
         self.state.update((seq, deadline, self.rearm(timer, deadline)))
 
     def expired(self, key, deadline: int) -> Row:
@@ -132,8 +135,8 @@ def lease_stream(log: DataFrame, timeout: timedelta, delay: str = "1 hour") -> D
 
 def key_expiry_stream(commands: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Tombstones of keys in a stream ``(seq, ts, key, expire_at)`` of expire and persist commands
-    (``expire_at`` NULL); the latest command counts, whichever way it moved the expiry."""
-    versions = watermarked(commands, delay).withColumn("deadline", _micros("expire_at"))
+    (``expire_at`` NULL): each time a key is past the expiry that its latest command gave it."""
+    versions = watermarked(commands, delay).withColumns({"micros": _micros("ts"), "deadline": _micros("expire_at")})
     gone = versions.groupBy("key").transformWithState(
         ExpiryMonitor(), outputStructType="key STRING, deadline LONG", outputMode="Append", timeMode="eventTime"
     )

@@ -114,6 +114,29 @@ def test_lease_runs_out_unless_kept_alive_or_ended(stream, emitted):
     ]
 
 
+@pytest.mark.parametrize("cuts", [1, 2, 12])
+def test_leases_do_not_depend_on_batches(stream, emitted, cuts):
+    log = [
+        (1, 1, at(0), "fetch"), (2, 2, at(1), "fetch"), (3, 1, at(20), "keep_alive"), (4, 2, at(25), "ack"), (5, 2, at(30), "fetch"),
+        (6, 1, at(90), "keep_alive"), (7, 3, at(91), "requeue"), (8, 3, at(92), "fetch"), (9, 1, at(200), "requeue"), (10, 1, at(210), "fetch"),
+        (11, 3, at(310), "fetch"), (12, 99, at(900), "keep_alive"),
+    ]
+    size = -(-len(log) // cuts)
+    results, _ = emitted(timers.lease_stream(stream([log[i : i + size] for i in range(0, len(log), size)], LEASE), timedelta(minutes=30)))
+    assert sorted(tuples(results)) == [
+        (1, at(20), at(50)), (1, at(90), at(120)), (1, at(210), at(240)), (3, at(92), at(122)), (3, at(310), at(340)),
+    ]
+
+
+@pytest.mark.parametrize("cuts", [1, 2, 5])
+def test_key_expiries_do_not_depend_on_batches(stream, emitted, cuts):
+    log = [(1, at(0), "a", at(10)), (2, at(5), "b", at(50)), (3, at(20), "a", at(60)), (4, at(40), "b", None), (5, at(70), "a", at(80)), (6, at(900), "z", None)]
+    size = -(-len(log) // cuts)
+    schema = "seq LONG, ts TIMESTAMP, key STRING, expire_at TIMESTAMP"
+    results, _ = emitted(timers.key_expiry_stream(stream([log[i : i + size] for i in range(0, len(log), size)], schema)))
+    assert sorted(tuples(results)) == [("a", at(10)), ("a", at(60)), ("a", at(80))]
+
+
 def test_rows_expire_once_their_time_has_come(stream, emitted):
     batches = [[(at(0), 1, at(30)), (at(0), 2, None), (at(0), 3, at(900)), (at(0), 4, at(-10))], [(at(200), 5, at(201))]]
     results, _ = emitted(timelines.row_expiry_stream(stream(batches, "ts TIMESTAMP, id LONG, expireat TIMESTAMP")))
