@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.clock import instant, seconds_between
-from ledgerline.functions.ranking import position_per_key, range_per_key, top_per_key
+from ledgerline.functions.ranking import BUCKET_WIDTH, position_per_key, range_per_key, top_per_key
 from ledgerline.operators.keys import Keys, group, restrict, with_absent_keys
 
 NO_TTL = -1.0
@@ -45,27 +45,29 @@ def set_lowest_n(sets: DataFrame, from_score: float, to_score: float, n: int, ke
     return ranked.select("key", F.col("rank").cast("bigint").alias("rank"), "value", "score")
 
 
-def set_range(sets: DataFrame, start: int, end: int, keys: Keys = None) -> DataFrame:
-    """Members ``start..end`` of each set, oldest first."""
+def set_range(sets: DataFrame, start: int, end: int, keys: Keys = None, width: int = BUCKET_WIDTH) -> DataFrame:
+    """Members ``start..end`` of each set, oldest first. ``width``: see ``position_per_key``."""
     rows = restrict(sets, "key", keys).select("id", "key", "value")
-    return range_per_key(rows, ["key"], start, end).select("key", "position", "value")
+    return range_per_key(rows, ["key"], start, end, width=width).select("key", "position", "value")
 
 
-def list_items(lists: DataFrame, keys: Keys = None) -> DataFrame:
-    """Contents of each list with their position, newest first."""
+def list_items(lists: DataFrame, keys: Keys = None, width: int = BUCKET_WIDTH) -> DataFrame:
+    """Contents of each list with their position, newest first. ``width``: see ``position_per_key``."""
     rows = restrict(lists, "key", keys).select("id", "key", "value")
-    return position_per_key(rows, ["key"], descending=True).select("key", "position", "value")
+    return position_per_key(rows, ["key"], descending=True, width=width).select("key", "position", "value")
 
 
-def list_range(lists: DataFrame, start: int, end: int, keys: Keys = None) -> DataFrame:
-    """Elements ``start..end`` of each list, newest first."""
+def list_range(lists: DataFrame, start: int, end: int, keys: Keys = None, width: int = BUCKET_WIDTH) -> DataFrame:
+    """Elements ``start..end`` of each list, newest first. ``width``: see ``position_per_key``."""
     rows = restrict(lists, "key", keys).select("id", "key", "value")
-    return range_per_key(rows, ["key"], start, end, descending=True).select("key", "position", "value")
+    return range_per_key(rows, ["key"], start, end, descending=True, width=width).select("key", "position", "value")
 
 
-def trim_lists(lists: DataFrame, keep_from: int, keep_to: int, keys: Keys = None) -> DataFrame:
+def trim_lists(
+    lists: DataFrame, keep_from: int, keep_to: int, keys: Keys = None, width: int = BUCKET_WIDTH
+) -> DataFrame:
     """Lists cut to positions ``keep_from..keep_to``, oldest first; lists not asked for stay whole."""
-    kept = range_per_key(restrict(lists, "key", keys), ["key"], keep_from, keep_to).select(*lists.columns)
+    kept = range_per_key(restrict(lists, "key", keys), ["key"], keep_from, keep_to, width=width).select(*lists.columns)
     if keys is None:
         return kept
     if isinstance(keys, DataFrame):

@@ -272,7 +272,8 @@ def statistics(
 
 
 def servers(server: DataFrame) -> DataFrame:
-    """Workers with their decoded payload; an unknown start is the earliest representable time."""
+    """Workers with their decoded payload; an unknown start is the earliest representable time, an unknown
+    number of threads 0."""
     payload = F.from_json("data", SERVER_PAYLOAD)
     earliest = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
     return server.withColumn("_payload", payload).select(
@@ -280,7 +281,7 @@ def servers(server: DataFrame) -> DataFrame:
         F.col("lastheartbeat").alias("heartbeat"),
         F.col("_payload.Queues").alias("queues"),
         F.coalesce(utc_time(F.col("_payload.StartedAt")), earliest).alias("started_at"),
-        F.col("_payload.WorkerCount").alias("workers_count"),
+        F.coalesce("_payload.WorkerCount", F.lit(0)).alias("workers_count"),
     )
 
 
