@@ -6,8 +6,7 @@ import pytest
 import corpus_pipeline
 from ledgerline.llm import classifier, mixing
 
-import test_packing
-import test_repeats
+from . import test_packing, test_repeats
 
 FOLDER = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
