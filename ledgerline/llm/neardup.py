@@ -5,6 +5,9 @@ of 64 one-byte min-hashes, and each tree of the forest sorts all classes by the
 place on. Classes that agree in the first bytes are neighbours there; in dense regions the order goes on to
 deeper bytes, so the nearest in line are those with the longest common prefix. Candidates with too few
 bytes in common are dropped; the others are confirmed on their full shingle sets.
+
+In a region of more classes than are looked at in line, pairs can stand too far apart in every order. Classes
+of such regions that are not yet one component also meet in an exact join on the prefixes of their sets.
 """
 
 from __future__ import annotations
@@ -29,10 +32,14 @@ STEP = BYTES // TREES
 DEPTH = 3
 # Candidates agree in so many of the 64 at least: 4.5 standard deviations below what is expected at the threshold.
 SPREAD = 4.5
-# Neighbours looked at in a region of more classes than that; nearest by common prefix.
+# Neighbours looked at in line. Regions of more classes are completed by ``overlapping``, so this cuts nothing off.
 REACH = 16
 NEAR = 1
 ROWS_EACH = 200_000
+# Slots that counts of shingles are summed in, to tell frequent from rare ones; they only set an order.
+SLOT_BITS = 20
+# Rows of one shingle that meet in one place.
+BLOCK = 1000
 CACHE_WORDS = 300_000
 
 _U = np.uint64
@@ -220,6 +227,94 @@ def candidates(steps: Steps, classes: DataFrame, percent: int = 85) -> DataFrame
     return inside.unionByName(borders).groupBy("a", "b").agg(F.min("step").alias("step"))
 
 
+def crowded(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``doc, component`` of classes in a region of more than can all meet in line, and of several components."""
+    named = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    rows = named.select(
+        F.col("rep").alias("doc"),
+        F.coalesce("component", "rep").alias("component"),
+        F.posexplode(F.array(*[F.substring("signature", 1 + t * STEP, DEPTH) for t in range(TREES)])).alias("tree", "prefix"),
+    )
+    # Grouped by a struct, the regions are dealt anew for the join, so that a large one can be split there.
+    regions = (
+        rows.groupBy(F.struct("tree", "prefix").alias("_k"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("component").alias("_low"), F.max("component").alias("_high"))
+        .where((F.col("_n") > REACH + 1) & (F.col("_low") != F.col("_high")))
+        .select("_k.*")
+    )
+    return rows.join(regions.hint("merge"), ["tree", "prefix"]).groupBy("doc").agg(F.min("component").alias("component"))
+
+
+def overlapping(steps: Steps, members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Every pair ``a, b`` of ``members`` (``doc, component``) of different components that may be similar enough.
+
+    With its shingles in one order for all, rarest first, a pair of sizes ``x, y`` that has ``common`` of them in
+    common shares one among the first ``x - common + 1`` of the one and ``y - common + 1`` of the other.
+    """
+    texts = steps.table(docs.join(members.hint("merge"), "doc").select("doc", "component", "text"))
+
+    def count(batches):
+        words, slots = WordHashes(), np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            whole = [text or b"" for text in batch.column("text").to_pylist()]
+            for low, high in chunks(whole):
+                for s in _sets(whole[low:high], words, size):
+                    np.add.at(slots, (s >> _U(64 - SLOT_BITS)).astype(np.int64), 1)
+        used = np.flatnonzero(slots)
+        for at in range(0, len(used), 1 << 16):
+            cut = used[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(cut.astype(np.int32)), pa.array(slots[cut])], names=["slot", "n"])
+
+    counted = texts.mapInArrow(count, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(1 << SLOT_BITS, np.int64)
+    often[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+
+    def first(batches):
+        words = WordHashes()
+        for batch in batches:
+            ids, names = (batch.column(c).to_pylist() for c in ("doc", "component"))
+            whole = [text or b"" for text in batch.column("text").to_pylist()]
+            for low, high in chunks(whole):
+                for doc, name, s in zip(ids[low:high], names[low:high], _sets(whole[low:high], words, size)):
+                    if not len(s):
+                        continue
+                    order = np.lexsort((s, often[(s >> _U(64 - SLOT_BITS)).astype(np.int64)]))
+                    head = s[order[: len(s) + percent * len(s) // -100 + 1]].view(np.int64)
+                    k = len(head)
+                    columns = [head, np.full(k, doc), np.full(k, name), np.full(k, len(s)), np.arange(k)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shingle", "doc", "component", "n", "place"])
+
+    heads = steps.table(texts.mapInArrow(first, "shingle bigint, doc bigint, component bigint, n bigint, place bigint"))
+    steps.free(texts)
+    shared = (
+        heads.groupBy(F.struct("shingle").alias("_k"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("component").alias("_low"), F.max("component").alias("_high"))
+        .where("_low <> _high")
+        .select("_k.shingle", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
+    )
+    # A frequent shingle's rows are dealt to blocks, and every two blocks meet in a place of their own.
+    dealt = steps.table(
+        heads.join(shared.hint("merge"), "shingle")
+        .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("shingle", "doc", "component", "n", "place", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    )
+    steps.free(heads)
+    side = lambda name: F.struct("doc", "component", "n", "place").alias(name)
+    x = dealt.where("block = low").select("shingle", "low", "high", side("x")).hint("merge")
+    y = dealt.where("block = high").select("shingle", "low", "high", side("y")).hint("merge")
+    common = F.expr(f"({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent}")
+    met = x.join(y, ["shingle", "low", "high"]).where(
+        (F.col("x.component") != F.col("y.component"))
+        & ((F.col("low") < F.col("high")) | (F.col("x.doc") < F.col("y.doc")))
+        & (F.col("x.place") <= F.col("x.n") - common)
+        & (F.col("y.place") <= F.col("y.n") - common)
+    )
+    out = steps.table(met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct())
+    steps.free(dealt)
+    return out
+
+
 def confirmed(steps: Steps, pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose full shingle sets are similar enough."""
     # Neither side of these joins has a bound on its size, so none is broadcast.
@@ -259,6 +354,11 @@ def confirmed(steps: Steps, pairs: DataFrame, docs: DataFrame, size: int, percen
     return out
 
 
+def _joined(steps: Steps, found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with more links between them."""
+    return steps.table(components(steps, links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """Groups of near-duplicates: ``doc_id, n_shingles, component_id, kept``, one row per input row.
 
@@ -288,10 +388,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
         .select("a", "b")
     )
     if apart.take(1):
-        more = confirmed(steps, apart, source, size, percent)
-        found = steps.table(
-            components(steps, more.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        )
+        found = _joined(steps, found, confirmed(steps, apart, source, size, percent))
+    members = steps.table(crowded(classes, found))
+    if members.take(1):
+        apart = overlapping(steps, members, source, size, percent)
+        if apart.take(1):
+            found = _joined(steps, found, confirmed(steps, apart, source, size, percent))
     named = classes.select("digest", "rep").join(
         found.select(F.col("node").alias("rep"), "component"), "rep", "left"
     ).select("digest", F.coalesce("component", "rep").alias("component"))

@@ -64,6 +64,50 @@ def test_many_copies_and_long_text(documents):
     assert out[3000][1] == out[3001][1] == 3000 and sum(v[2] for v in out.values()) == 2
 
 
+def test_single_links_in_a_large_family(documents):
+    """Variants of one template, each with one partner above the threshold and thousands below it."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+
+    def changed(words, count, skip=()):
+        places = []
+        while len(places) < count:
+            at = rng.randrange(3, 197)
+            if all(abs(at - p) > 2 for p in (*places, *skip)):
+                places.append(at)
+        out = list(words)
+        for at in places:
+            out[at] = f"n{rng.random()}"
+        return out, places
+
+    rows = []
+    for i in range(4000):
+        variant, places = changed(base, 6)
+        rows += [(2 * i, " ".join(variant)), (2 * i + 1, " ".join(changed(variant, 5, places)[0]))]
+    out = got(neardup.near_duplicates(documents(rows)))
+    assert {d: v[1] for d, v in out.items()} == {d: d // 2 * 2 for d, _ in rows}
+
+
+def test_join_of_prefixes_is_exact(spark, documents, monkeypatch):
+    """Every link between different components comes out, also of shingles too frequent for one block."""
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        text = base[: rng.randrange(45, 61)]
+        for _ in range(rng.randrange(0, 4)):
+            text[rng.randrange(len(text))] = rng.choice("abc")
+        rows.append((i, " ".join(text)))
+    docs = documents(rows).selectExpr("doc_id AS doc", "CAST(text AS BINARY) AS text")
+    members = spark.createDataFrame([(i, i % 5) for i, _ in rows], "doc bigint, component bigint")
+    steps = Steps(spark)
+    links = neardup.confirmed(steps, neardup.overlapping(steps, members, docs, 3, 85), docs, 3, 85)
+    sets = [{tuple(t.split()[j : j + 3]) for j in range(len(t.split()) - 2)} for _, t in rows]
+    want = {(a, b) for b in range(150) for a in range(b) if a % 5 != b % 5 and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert {(r.a, r.b) for r in links.collect()} == want and len(want) > 100
+
+
 def test_repeated_rows_null_id_and_empty(documents):
     rows = [(5, "a b c d"), (5, "a b c d"), (None, "a b c d"), (7, "x")]
     out = neardup.near_duplicates(documents(rows)).collect()
