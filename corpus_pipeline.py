@@ -5,16 +5,16 @@ the next stage's docs. All but the last return the columns of ``documents``. No
 classifier or the packing, so ``tests/llm/test_pipeline.py`` checks the stages against brute force.
 
 Odd input, for every stage: an empty table gives an empty result; null texts count as empty; extra columns
-pass through; documents that repeat a ``doc_id`` are treated as the stage's operator says.
+pass through; rows that share a ``doc_id``, a null one too, are documents of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import classifier, mixing, neardup, packing, repeats
-from ledgerline.llm.common import Steps
+from ledgerline.llm.common import Steps, with_row_keys, with_text_keys
 
 # Near-duplicates of the pipeline: sets of five words, similarity 0.8.
 SHINGLE_WORDS = 5
@@ -33,25 +33,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest ``doc_id``.
 
-    Of rows that share this ``doc_id`` one stays. Documents without words are no near-duplicates and all stay.
+    Rows are linked by their texts alone. Documents without words are no near-duplicates and all stay.
     """
-    found = neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    gone = found.where(~F.col("kept")).select(_key("doc_id").alias("_gone")).distinct()
+    rows = with_row_keys(Steps(spark), docs, "_own")
+    found = neardup.near_duplicates(rows.select(F.col("_own").alias("doc_id"), "text"), SHINGLE_WORDS, SIMILAR_PERCENT)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_own"))
     # The list grows with the corpus, so it is not broadcast.
-    left = docs.join(gone.hint("merge"), _key("doc_id") == F.col("_gone"), "left_anti")
-    return _without_equal_rows(left)
-
-
-def _without_equal_rows(docs: DataFrame) -> DataFrame:
-    """One row per ``doc_id``, found without moving texts where no id repeats."""
-    twice = docs.groupBy(_key("doc_id").alias("_twice")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_twice")
-    if not twice.take(1):
-        return docs
-    single = docs.join(twice, _key("doc_id") == F.col("_twice"), "left_anti")
-    one = docs.join(twice, _key("doc_id") == F.col("_twice"), "left_semi").groupBy(_key("doc_id").alias("_id")).agg(
-        F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text", "source", "lang")).alias("_row")
-    )
-    return single.unionByName(one.select("_row.*"))
+    return rows.join(gone.hint("merge"), "_own", "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,15 +48,18 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A cut inside a character removes the whole character. Documents of which nothing but blanks is left go.
     """
     steps = Steps(spark)
+    rows = with_text_keys(steps, docs, "_own")
+    source = rows.select(F.col("_own").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    # Rows that share this key have the same text, and so the same bytes are left of them.
     found = steps.table(
-        repeats.dedup(docs).where("n_removed > 0").select(_key("doc_id").alias("_id"), F.col("kept").alias("_kept")).dropDuplicates(["_id"])
+        repeats.removed(steps, source).where("n_removed > 0").select(F.col("doc").alias("_own"), F.col("kept").alias("_kept")).dropDuplicates(["_own"])
     )
     # Bytes that are left of a cut character are no UTF-8; they are dropped.
     cut = F.try_validate_utf8(F.col("_kept").cast("string"))
     text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(
         F.coalesce(cut, F.replace(F.make_valid_utf8(F.col("_kept").cast("string")), F.lit("�"), F.lit("")))
     )
-    joined = docs.join(found.hint("merge"), _key("doc_id") == F.col("_id"), "left").withColumn("text", text)
+    joined = rows.join(found.hint("merge"), "_own", "left").withColumn("text", text)
     changed = joined.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
     return changed.where(F.col("_kept").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
 
@@ -76,7 +67,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's weight asks for; at each source's budget the last one is cut."""
     steps = Steps(spark)
-    return mixing.taken_documents(docs, steps.table(mixing.mix(docs)))
+    rows = with_row_keys(steps, docs, "_own")
+    own = rows.withColumnsRenamed({"doc_id": "_id", "_own": "doc_id"})
+    taken = mixing.taken_documents(own, steps.table(mixing.mix(own)))
+    return taken.drop("doc_id").withColumnRenamed("_id", "doc_id").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,11 +78,6 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-def _key(name: str) -> Column:
-    """An id as a join key that null equals."""
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
-
-
 STAGES = [
     ("quality_classifier", quality),
     ("minhash_near_dedup", near_duplicates),

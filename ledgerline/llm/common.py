@@ -72,6 +72,45 @@ class Steps:
         self.spark._jvm.System.gc()
 
 
+def id_number(name: str = "doc_id") -> Column:
+    """An id as a number; null is the least one."""
+    return F.coalesce(F.col(name).cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
+
+
+def ids_repeat(docs: DataFrame) -> bool:
+    """Whether any two rows share a ``doc_id``, null included."""
+    return bool(docs.groupBy(id_number().alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").take(1))
+
+
+def with_row_keys(steps: Steps, docs: DataFrame, name: str) -> DataFrame:
+    """Adds a number of its own to every row, in the order of ``doc_id``, null first.
+
+    Where no id repeats it is the id itself; else rows are sorted, numbered and written once.
+    """
+    own = docs.withColumn(name, id_number())
+    if not ids_repeat(docs):
+        return own
+    order = [name, "_mark", "_tie"]
+    placed = own.withColumns({"_mark": F.xxhash64("text"), "_tie": F.monotonically_increasing_id()})
+    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return steps.table(placed.withColumn(name, F.monotonically_increasing_id()).drop("_mark", "_tie"))
+
+
+def with_text_keys(steps: Steps, docs: DataFrame, name: str) -> DataFrame:
+    """Like ``with_row_keys``, but rows with the same id and text share their number."""
+    if not ids_repeat(docs):
+        return docs.withColumn(name, id_number())
+    told = docs.withColumns({"_id": id_number(), "_mark": F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)})
+    order = ["_id", "_mark"]
+    marks = told.groupBy(F.struct(*order).alias("_k")).agg(F.count(F.lit(1))).select("_k.*")
+    numbered = steps.table(
+        marks.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id())
+    )
+    keyed = steps.table(told.join(numbered.hint("merge"), order).select(*docs.columns, name))
+    steps.free(numbered)
+    return keyed
+
+
 def running_total(
     steps: Steps, df: DataFrame, group: Sequence[str], order: Sequence[str], values: dict[str, Column]
 ) -> DataFrame:

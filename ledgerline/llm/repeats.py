@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Steps
+from ledgerline.llm.common import Steps, with_text_keys
 
 SPAN = 100
 GRAM = 24
@@ -293,32 +293,33 @@ def merged_spans(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndar
     return low[at], high[np.append(at[1:] - 1, len(low) - 1)] if len(low) else high
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    least = F.lit(-(1 << 63)).cast("bigint")
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), least).alias("doc"), F.col("text").cast("binary").alias("text"))
-
-
 def dedup(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """Documents without their repeated bytes: ``doc_id, n_bytes, spans, n_removed, kept`` (kept as binary).
 
     A byte goes if a window of ``span`` bytes over it also starts earlier: in a document with a smaller
     ``doc_id``, or earlier in the same one. A null text is empty; a null ``doc_id`` is the smallest. Rows that
-    share a ``doc_id`` are one place in this order: equal windows at the same start in them do not count as
-    earlier, and what is repeated in one of them is removed there from all. An empty table gives an empty
-    result. ``spans`` lists the maximal removed stretches as (start, end); the kept bytes need not be valid
+    share both ``doc_id`` and text are one place in this order: none of them is earlier than the other. Different
+    texts under one ``doc_id`` are documents of their own, in the order of their digests. An empty table gives an
+    empty result. ``spans`` lists the maximal removed stretches as (start, end); the kept bytes need not be valid
     UTF-8, since a cut may fall within a character.
     """
+    steps = Steps(docs.sparkSession)
+    keyed = with_text_keys(steps, docs.select("doc_id", "text"), "doc")
+    found = removed(steps, keyed.select("doc", F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")), span)
+    return found.drop("doc")
+
+
+def removed(steps: Steps, source: DataFrame, span: int = SPAN) -> DataFrame:
+    """``dedup`` of ``doc, doc_id, text`` in the order of ``doc``, which is kept beside ``doc_id``."""
     if span < GRAM + BLOCK:
         raise ValueError(f"a window has at least {GRAM + BLOCK} bytes")
-    steps = Steps(docs.sparkSession)
-    source = _keyed(docs)
     later = repeated_windows(steps, source, span)
     listed = later.groupBy("doc").agg(F.collect_list(F.struct("low", "n")).alias("found"))
 
     def remove(batches):
         for batch in batches:
             rows = []
-            for doc, text, found in zip(*(batch.column(c) for c in ("doc", "text", "found"))):
+            for doc, own, text, found in zip(*(batch.column(c) for c in ("doc", "doc_id", "text", "found"))):
                 text = text.as_py() or b""
                 if found.is_valid:
                     values = found.values
@@ -329,25 +330,25 @@ def dedup(docs: DataFrame, span: int = SPAN) -> DataFrame:
                 else:
                     spans = []
                 kept = b"".join(text[a:b] for a, b in zip([0, *(b for _, b in spans)], [*(a for a, _ in spans), len(text)]))
-                rows.append((doc.as_py(), len(text), spans, len(text) - len(kept), kept))
+                rows.append((doc.as_py(), own.as_py(), len(text), spans, len(text) - len(kept), kept))
             if rows:
                 yield pa.RecordBatch.from_pylist(
                     [
-                        {"doc": d, "n_bytes": n, "spans": [{"start": a, "end": b} for a, b in s], "n_removed": r, "kept": k}
-                        for d, n, s, r, k in rows
+                        {"doc": d, "doc_id": o, "n_bytes": n, "spans": [{"start": a, "end": b} for a, b in s], "n_removed": r, "kept": k}
+                        for d, o, n, s, r, k in rows
                     ],
                     schema=_RESULT,
                 )
 
-    result = source.join(listed.hint("merge"), "doc", "left").mapInArrow(
-        remove, "doc bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, n_removed bigint, kept binary"
+    return source.join(listed.hint("merge"), "doc", "left").mapInArrow(
+        remove, "doc bigint, doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, n_removed bigint, kept binary"
     )
-    return result.select(F.when(F.col("doc") != -(1 << 63), F.col("doc")).alias("doc_id"), "n_bytes", "spans", "n_removed", "kept")
 
 
 _RESULT = pa.schema(
     [
         ("doc", pa.int64()),
+        ("doc_id", pa.int64()),
         ("n_bytes", pa.int64()),
         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
         ("n_removed", pa.int64()),

@@ -127,3 +127,23 @@ def test_odd_input(spark, documents):
     assert sorted((r.doc_id is not None, r.doc_id or 0) for r in near) == [(False, 0), (True, 1), (True, 2), (True, 4)]
 
 
+
+
+def test_rows_that_share_an_id_are_documents(spark, documents):
+    """Null and repeated ids with different texts: nothing goes but near copies, repeats and what no budget covers."""
+    text = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(None, text("a", 60), "a"), (None, text("b", 50), "b"), (None, text("b", 50), "b"), (7, text("c", 60), "a"), (7, text("d", 40), "b")]
+    rows += [(8, text("e", 30) + " " + text("c", 60) + " " + text("f", 60), "a")]
+    docs = documents(rows)
+    near = corpus_pipeline.near_duplicates(spark, docs, FOLDER).cache()
+    assert sorted(r.text for r in near.collect()) == sorted({r[1] for r in rows})
+    left = corpus_pipeline.repeated_passages(spark, near, FOLDER).cache()
+    texts = {r.text for r in left.collect()}
+    assert {r[1] for r in rows[:5]} < texts and len(texts) == 5
+    (cut,) = texts - {r[1] for r in rows}
+    assert text("e", 29) in cut and text("c", 60) not in cut and text("f", 60)[9:] in cut
+    target = {r.source: int(r.target) for r in mixing.mix(left).collect()}
+    words = defaultdict(int)
+    for r in corpus_pipeline.mixed(spark, left, FOLDER).collect():
+        words[r.source] += len(WORD.findall(r.text))
+    assert dict(words) == target

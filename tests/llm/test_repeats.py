@@ -74,6 +74,19 @@ def test_same_doc_id_null_and_empty(documents):
     assert repeats.dedup(documents([])).collect() == []
 
 
+def test_different_texts_of_one_doc_id(documents):
+    """A passage is cut from the row that repeats it, not from others with its id, null or not."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdef") for _ in range(n))
+    passage = text(200)
+    for same in (5, None):
+        clean, again = text(400), "#" * 20 + passage + "#" * 20
+        rows = [(-(1 << 62) if same else same, passage), (same, clean), (same, again), (9, clean[:300])]
+        out = {(r.doc_id, r.n_bytes): (r.n_removed, bytes(r.kept).decode()) for r in repeats.dedup(documents(rows)).collect()}
+        assert out[same, 400] == (0, clean) and out[9, 300] == (300, "")
+        assert sorted((out[rows[0][0], 200][0], out[same, 240][0])) == [0, 200]
+
+
 def test_windows_of_equal_content_share_their_anchor():
     rng = np.random.default_rng(1)
     passage = rng.integers(97, 110, 500).astype(np.uint8)
