@@ -1,7 +1,8 @@
 """Event-time timers per key, where no built-in window fits.
 
-State per key is a few numbers. A key's entries of a batch are taken in the order of ``seq``, and expiry is
-decided between one entry and the next, so results do not depend on how the log is cut into batches.
+A key's entries wait in state until the watermark has reached their time, so that all that can still arrive
+in time has arrived. Then they are settled in the order of ``seq``, and expiry is decided between one entry and
+the next, so results depend neither on how the log is cut into batches nor on the order within the delay.
 """
 
 from __future__ import annotations
@@ -24,19 +25,21 @@ def _millis_after(micros: int) -> int:
 
 
 class _Timed(StatefulProcessor):
-    """Keeps one value state, whose last field is the time of its only timer (0 = none).
+    """Keeps waiting entries by ``seq`` and one value state, whose last field is the time of its only timer (0 = none).
 
-    Every call on the handle is a round trip to the JVM, so timers are touched only when they move.
+    Every call on the handle is a round trip to the JVM, so timers are touched only when they move. The timer
+    stands at the next waiting entry's time or at the next expiry, whichever is first.
     """
 
     state_schema = ""
+    entry_schema = ""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("state", self.state_schema)
+        self.waiting = handle.getMapState("waiting", "seq LONG", self.entry_schema)
 
-    def rearm(self, timer: int, micros: int | None) -> int:
-        wanted = 0 if micros is None else _millis_after(micros)
+    def rearm(self, timer: int, wanted: int) -> int:
         if wanted != timer:
             if timer:
                 self.handle.deleteTimer(timer)
@@ -44,6 +47,45 @@ class _Timed(StatefulProcessor):
                 self.handle.registerTimer(wanted)
         return wanted
 
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        for row in rows:
+            self.waiting.updateValue((row.seq,), self.entry(row))
+        yield from self.settled(key, timerValues.getCurrentWatermarkInMs(), False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self.settled(key, timerValues.getCurrentWatermarkInMs(), True)
+
+    def settled(self, key, now: int, fired: bool) -> Iterator[Row]:
+        *state, timer = self.state.get() or self.start
+        if fired:
+            timer = 0
+        waiting = sorted((seq, *entry) for (seq,), entry in self.waiting.iterator())
+        # An entry also waits for those of a smaller seq that do.
+        ready = 0
+        while ready < len(waiting) and _millis_after(waiting[ready][1]) <= now:
+            ready += 1
+        for entry in waiting[:ready]:
+            expired, state = self.step(key, state, entry)
+            self.waiting.removeKey((entry[0],))
+            yield from expired
+        rest = waiting[ready:]
+        # Only an entry that still waits can decide otherwise on an expiry that the watermark has passed.
+        end = self.end(state)
+        if end is not None and _millis_after(end) <= now and not any(entry[1] <= end for entry in rest):
+            expired, state = self.lapse(key, state)
+            yield from expired
+            end = self.end(state)
+        times = [_millis_after(rest[0][1])] if rest else []
+        if end is not None:
+            times.append(_millis_after(end))
+        # What the watermark has passed already waits for the first of the entries.
+        times = [t for t in times if t > now]
+        timer = self.rearm(timer, min(times, default=0))
+        if rest or timer or self.worth(state):
+            self.state.update((*state, timer))
+        else:
+            self.state.clear()
+
     def close(self) -> None:
         pass
 
@@ -51,67 +93,77 @@ class _Timed(StatefulProcessor):
 class LeaseMonitor(_Timed):
     """Emits a queue row each time its lease runs out. Input: seq, id, micros, op.
 
-    Follows the log entry by entry in the order of ``seq``, so it does not matter how entries are cut into
-    batches. An acknowledged row is remembered as gone.
+    Follows the log entry by entry in the order of ``seq``. An acknowledged row is remembered as gone.
     """
 
     state_schema = "seq LONG, held BOOLEAN, gone BOOLEAN, touch LONG, pending BOOLEAN, timer LONG"
+    entry_schema = "micros LONG, op STRING"
+    start = (-1, False, False, -1, False, 0)
 
     def __init__(self, timeout_micros: int):
         self.timeout = timeout_micros
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        seq, held, gone, touch, pending, timer = self.state.get() or (-1, False, False, -1, False, 0)
-        for row in sorted(rows, key=lambda r: r.seq):
-            if gone or row.seq <= seq:
-                continue
-            seq = row.seq
-            if pending and row.micros > touch + self.timeout:
-                pending = False
-                yield self.expired(key, touch)
-            if row.op == "fetch" or (held and row.op == "keep_alive"):
-                held, touch, pending = True, row.micros, True
-            elif held:
-                held, pending, gone = False, False, row.op == "ack"
-        timer = self.rearm(timer, touch + self.timeout if pending else None)
-        if held or gone:
-            self.state.update((seq, held, gone, touch, pending, timer))
-        else:
-            self.state.clear()
+    def entry(self, row: Row):
+        return row.micros, row.op
+
+    def step(self, key, state, entry):
+        last, held, gone, touch, pending = state
+        seq, micros, op = entry
+        out = []
+        if gone or seq <= last:
+            return out, state
+        if pending and micros > touch + self.timeout:
+            pending = False
+            out.append(self.expired(key, touch))
+        if op == "fetch" or (held and op == "keep_alive"):
+            held, touch, pending = True, micros, True
+        elif held:
+            held, pending, gone = False, False, op == "ack"
+        return out, [seq, held, gone, touch, pending]
+
+    def end(self, state):
+        return state[3] + self.timeout if state[4] else None
+
+    def lapse(self, key, state):
+        # The holder may still keep the lease alive, so the state stays.
+        return [self.expired(key, state[3])], [*state[:4], False]
+
+    def worth(self, state):
+        return state[1] or state[2]
 
     def expired(self, key, touch: int) -> Row:
         return Row(id=key[0], fetched=touch, expired=touch + self.timeout)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        seq, held, gone, touch, _, _ = self.state.get()
-        # The holder may still keep the lease alive, so the state stays.
-        self.state.update((seq, held, gone, touch, False, 0))
-        yield self.expired(key, touch)
-
 
 class ExpiryMonitor(_Timed):
     """Emits a key's tombstone each time it expires. Input: seq, key, micros, deadline (NULL = never)."""
 
     state_schema = "seq LONG, deadline LONG, timer LONG"
+    entry_schema = "micros LONG, deadline LONG"
+    start = (-1, None, 0)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        seq, deadline, timer = self.state.get() or (-1, None, 0)
-        for row in sorted(rows, key=lambda r: r.seq):
-            if row.seq <= seq:
-                continue
-            if deadline is not None and row.micros > deadline:
-                yield self.expired(key, deadline)
-            seq, deadline = row.seq, row.deadline
-        self.state.update((seq, deadline, self.rearm(timer, deadline)))
+    def entry(self, row: Row):
+        return row.micros, row.deadline
+
+    def step(self, key, state, entry):
+        last, deadline = state
+        seq, micros, new = entry
+        if seq <= last:
+            return [], state
+        return [self.expired(key, deadline)] if deadline is not None and micros > deadline else [], [seq, new]
+
+    def end(self, state):
+        return state[1]
+
+    def lapse(self, key, state):
+        return [self.expired(key, state[1])], [-1, None]
+
+    def worth(self, state):
+        return state[0] >= 0
 
     def expired(self, key, deadline: int) -> Row:
         return Row(key=key[0], deadline=deadline)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        _, deadline, _ = self.state.get()
-        self.state.clear()
-        yield self.expired(key, deadline)
-
 
 def _micros(column: str):
     return F.unix_micros(F.col(column).cast("timestamp"))

@@ -137,6 +137,21 @@ def test_key_expiries_do_not_depend_on_batches(stream, emitted, cuts):
     assert sorted(tuples(results)) == [("a", at(10)), ("a", at(60)), ("a", at(80))]
 
 
+def test_entries_swapped_between_batches(stream, emitted):
+    """Within the delay the order of arrival does not matter: a keep-alive before its fetch."""
+    batches = [[(2, 1, at(20), "keep_alive"), (3, 2, at(30), "fetch")], [(1, 1, at(0), "fetch"), (4, 2, at(45), "ack")], [(9, 99, at(400), "keep_alive")], [(10, 99, at(401), "keep_alive")]]
+    results, _ = emitted(timers.lease_stream(stream(batches, LEASE), timedelta(minutes=30)))
+    assert sorted(tuples(results)) == [(1, at(20), at(50))]
+
+
+def test_expire_after_its_persist(stream, emitted):
+    """The expiry that passed before the persist is emitted though its command arrives later."""
+    schema = "seq LONG, ts TIMESTAMP, key STRING, expire_at TIMESTAMP"
+    batches = [[(2, at(30), "a", None)], [(1, at(0), "a", at(10))], [(9, at(400), "z", None)], [(10, at(401), "z", None)]]
+    results, _ = emitted(timers.key_expiry_stream(stream(batches, schema)))
+    assert sorted(tuples(results)) == [("a", at(10))]
+
+
 def test_rows_expire_once_their_time_has_come(stream, emitted):
     batches = [[(at(0), 1, at(30)), (at(0), 2, None), (at(0), 3, at(900)), (at(0), 4, at(-10))], [(at(200), 5, at(201))]]
     results, _ = emitted(timelines.row_expiry_stream(stream(batches, "ts TIMESTAMP, id LONG, expireat TIMESTAMP")))
