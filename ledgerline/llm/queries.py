@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, chat, classifier, licenses, lm, mixing, neardup, packing, repeats, rules, warc
+from ledgerline.llm import ann, chat, classifier, licenses, lm, mixing, neardup, negatives, packing, repeats, rules, warc
 from ledgerline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,8 @@ def _attention_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_chat_format", chat.CHECK)
 def _chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.formatted_digests(table(spark, folder, "conversations"))
+
+
+@query("op12_hard_negatives", negatives.CHECK)
+def _hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mined(table(spark, folder, "embeddings"))
