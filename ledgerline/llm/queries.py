@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, chat, classifier, licenses, lm, mixing, neardup, negatives, packing, repeats, rules, warc
+from ledgerline.llm import ann, chat, classifier, licenses, lm, mixing, neardup, negatives, packing, repeats, rules, spelling, warc
 from ledgerline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,8 @@ def _chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_hard_negatives", negatives.CHECK)
 def _hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mined(table(spark, folder, "embeddings"))
+
+
+@query("op11_spelling_variants", spelling.CHECK)
+def _spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
