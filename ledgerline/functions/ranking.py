@@ -141,3 +141,27 @@ def carry_last(
         .withColumn(name, F.coalesce("_within", "_carried"))
         .select(*df.columns, name)
     )
+
+
+def carry_latest(
+    df: DataFrame, keys: list[str], order: str, values: dict[str, Column], tie: str | None = None, width: int = BUCKET_WIDTH
+) -> DataFrame:
+    """``carry_last`` of several values at once; rows of a key may share ``order`` if ``tie`` tells them apart.
+
+    Rows that share ``order`` lie in one bucket."""
+    named = {f"_v{i}": value for i, value in enumerate(values.values())}
+    rows = df.withColumn("_group", _group(keys, order, width)).withColumns(named)
+    place = F.struct(order, *([tie] if tie else []))
+    within = Window.partitionBy("_group").orderBy(order, *([tie] if tie else [])).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*_keys_of_group(keys)).orderBy("_group._bucket").rowsBetween(Window.unboundedPreceding, -1)
+    last = {v: F.max_by(v, F.when(F.col(v).isNotNull(), place)).alias(f"_last{v}") for v in named}
+    carried = (
+        rows.groupBy("_group")
+        .agg(*last.values())
+        .select("_group", *[F.last(f"_last{v}", ignorenulls=True).over(across).alias(f"_carried{v}") for v in named])
+    )
+    return (
+        rows.withColumns({f"_within{v}": F.last(v, ignorenulls=True).over(within) for v in named})
+        .join(carried, "_group")
+        .select(*df.columns, *[F.coalesce(f"_within{v}", f"_carried{v}").alias(name) for v, name in zip(named, values)])
+    )

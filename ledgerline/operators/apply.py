@@ -18,7 +18,6 @@ from ledgerline.functions.clock import plus_seconds, plus_whole_seconds
 from ledgerline.functions.payload import json_or_default
 from ledgerline.functions.ranking import carry_last, running_sum
 from ledgerline.operators.keys import group, merged
-from ledgerline.session import stored
 
 
 def committed_commands(commands: DataFrame, transactions: DataFrame | None = None) -> DataFrame:
@@ -230,47 +229,6 @@ def apply_hash(hashes: DataFrame, commands: DataFrame, first_id: int = 0) -> Dat
     return _apply_items(hashes, commands, "field", "value", first_id)
 
 
-def apply_set_range(sets: DataFrame, commands: DataFrame, first_id: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(next set table, void transactions) after whole-batch inserts ``(txn_id, seq, key, item)``.
-
-    Inserting a member that exists fails and voids its transaction; transactions run in txn_id order.
-    Which transactions survive is settled in rounds: one is accepted once no earlier undecided
-    transaction wants any of its members, and rejected once an accepted one has taken one. Every
-    round decides at least the earliest undecided transaction; a round is two shuffles of what is
-    still undecided.
-    """
-    wanted = commands.groupBy("txn_id", "key", "item").agg(F.count(F.lit(1)).alias("_times"))
-    taken = sets.select("key", F.col("value").alias("item"))
-    failed = stored(
-        wanted.where(F.col("_times") > 1)
-        .select("txn_id")
-        .union(wanted.join(taken, ["key", "item"], "left_semi").select("txn_id"))
-        .distinct()
-    )
-    undecided = stored(wanted.select("txn_id", "key", "item").join(failed, "txn_id", "left_anti"))
-    accepted = undecided.select("txn_id").limit(0)
-    while not undecided.isEmpty():
-        first = group(undecided, "key", "item").agg(F.min("txn_id").alias("_first")).select("_by.*", "_first")
-        behind = F.col("txn_id") > F.col("_first")
-        contested = undecided.join(first, ["key", "item"])
-        winners = stored(
-            contested.groupBy("txn_id").agg(F.max(behind).alias("_behind")).where(~F.col("_behind")).select("txn_id")
-        )
-        taken = undecided.join(winners, "txn_id", "left_semi").select("key", "item")
-        rest = undecided.join(winners, "txn_id", "left_anti")
-        losers = stored(rest.join(taken, ["key", "item"], "left_semi").select("txn_id").distinct())
-        accepted, failed = accepted.union(winners), failed.union(losers)
-        undecided = stored(rest.join(losers, "txn_id", "left_anti"))
-    added = commands.join(accepted, "txn_id", "left_semi").select(
-        (F.lit(first_id) + F.col("seq")).cast("bigint").alias("id"),
-        "key",
-        F.lit(0.0).alias("score"),
-        F.col("item").alias("value"),
-        F.lit(None).cast(sets.schema["expireat"].dataType).alias("expireat"),
-    )
-    return sets.select(*added.columns).unionByName(added), failed
-
-
 def apply_servers(server: DataFrame, commands: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(next worker table, rejected heartbeats) for ``(seq, ts, id, op, data)`` with op announce,
     heartbeat or remove. A heartbeat of a worker that is not registered at that moment is rejected."""

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators import apply, lists
+from ledgerline.operators import apply, lists, transactions
 from ledgerline.plans.mapping import Ledger
 from ledgerline.plans.registry import query
 
@@ -143,10 +146,10 @@ FROM ll_counter_commands WHERE committed""",
 )(lambda ledger: apply.apply_counters(ledger["counter"], _committed(ledger, "counter_commands"), FIRST_ID))
 
 
-def _items_check(payload: str) -> str:
+def _items_check(payload: str, commands: str = "c AS (SELECT * FROM ll_keyed_commands WHERE committed)") -> str:
     """Next keyed snapshot: replayed per row from its last removal, its rebirth and later expiries."""
     return f"""
-WITH c AS (SELECT * FROM ll_keyed_commands WHERE committed),
+WITH {commands},
 start AS (SELECT id, key, item, score, CAST(score AS VARCHAR) AS value, expireat FROM ll_keyed_snapshot),
 rows AS (SELECT key, item FROM start UNION SELECT key, item FROM c WHERE op IN ('add', 'add_score')),
 kills AS (SELECT r.key, r.item, max(c.seq) AS kill FROM rows r
@@ -224,12 +227,136 @@ def _list_with_trims(ledger: Ledger):
     return lists.apply_list(_list_snapshot(ledger), log.withColumns(trims), FIRST_ID)
 
 
-@query("apply_set_range")
-def _set_range(ledger: Ledger):
-    """Every transaction's adds as one batch insert: settled in rounds, checked by replay in the tests."""
-    adds = _committed(ledger, "keyed_commands").where(F.col("op").isin("add", "add_score"))
-    batch = adds.select("txn_id", "seq", "key", F.col("value").alias("item"))
-    return apply.apply_set_range(_set_snapshot(ledger), batch, FIRST_ID)[0]
+# Transactions replayed one command after another. A member of a set is the number of its key and its item; the
+# state is the members before the transaction, those after its commands so far, and whether one of them failed.
+def _replayed(log: str) -> str:
+    return f"""
+log AS ({log}),
+numbered AS (SELECT seq, txn_id, op, CAST(substr(key, 2) AS BIGINT) * 1000 + CAST(substr(item, 2) AS BIGINT) AS member,
+                    CAST(substr(key, 2) AS BIGINT) AS owner, row_number() OVER (ORDER BY txn_id, seq) AS n
+             FROM log WHERE op IN ('insert', 'add', 'add_score', 'remove', 'remove_key')),
+replay(n, txn_id, held, work, failed) AS (
+  SELECT CAST(0 AS BIGINT), CAST(-1 AS BIGINT),
+         (SELECT list(CAST(substr(key, 2) AS BIGINT) * 1000 + CAST(substr(item, 2) AS BIGINT)) FROM ll_keyed_snapshot
+          WHERE (key, item) IN (SELECT (key, item) FROM log WHERE op = 'insert')), CAST([] AS BIGINT[]), TRUE
+  UNION ALL
+  SELECT c.n, c.txn_id, r.held,
+         CASE WHEN c.op = 'remove' THEN [x FOR x IN r.work IF x <> c.member]
+              WHEN c.op = 'remove_key' THEN [x FOR x IN r.work IF x // 1000 <> c.owner]
+              WHEN list_contains(r.work, c.member) THEN r.work ELSE list_append(r.work, c.member) END,
+         r.failed OR (c.op = 'insert' AND list_contains(r.work, c.member))
+  FROM (SELECT s.n, CASE WHEN s.same OR s.failed THEN s.held ELSE s.work END AS held,
+               CASE WHEN s.same OR NOT s.failed THEN s.work ELSE s.held END AS work, s.same AND s.failed AS failed
+        FROM (SELECT r.*, c.txn_id = r.txn_id AS same FROM replay r JOIN numbered c ON c.n = r.n + 1) s) r
+  JOIN numbered c ON c.n = r.n + 1),
+clashing AS (SELECT DISTINCT txn_id FROM replay WHERE failed AND n > 0)"""
+
+
+def _set_batches(ledger: Ledger):
+    """Clicks and views as batch inserts, beside the other commands."""
+    log = _committed(ledger, "transaction_log").where("target = 'set'")
+    return log.select("txn_id", "seq", "key", "item", "op", "score", "expire_at")
+
+
+_SET_LOG = "SELECT * FROM ll_transaction_log WHERE committed AND target = 'set'"
+_AS_ADDED = "CASE WHEN op = 'insert' THEN 'add' ELSE op END AS op, CASE WHEN op = 'insert' THEN CAST(0 AS DOUBLE) ELSE score END AS score"
+
+query(
+    "apply_set_range",
+    _items_check(
+        "score",
+        f"""RECURSIVE {_replayed(_SET_LOG)},
+c AS (SELECT seq, key, item, {_AS_ADDED}, expire_at FROM log WHERE txn_id NOT IN (SELECT txn_id FROM clashing))""",
+    )
+    + "\nSELECT id, key, score, item AS value, expireat FROM done",
+)(lambda ledger: transactions.apply_set_range(_set_snapshot(ledger), _set_batches(ledger), FIRST_ID)[0])
+
+# A state for an unknown job voids its transaction before any batch insert is looked at.
+_VOID = f"""RECURSIVE whole AS (SELECT * FROM ll_transaction_log WHERE committed),
+stateless AS (SELECT DISTINCT txn_id FROM whole
+              WHERE target = 'job' AND op IN ('set_state', 'add_state') AND jobid NOT IN (SELECT id FROM ll_job)),
+{_replayed("SELECT * FROM whole WHERE target = 'set' AND txn_id NOT IN (SELECT txn_id FROM stateless)")},
+void AS (SELECT txn_id, '{transactions.UNKNOWN_JOB}' AS reason FROM stateless
+         UNION ALL SELECT txn_id, '{transactions.EXISTING_MEMBER}' FROM clashing),
+good AS (SELECT * FROM whole WHERE txn_id NOT IN (SELECT txn_id FROM void))"""
+
+
+def _all_tables(ledger: Ledger):
+    named = {name: ledger[name] for name in ("job", "state", "jobqueue", "counter")}
+    named |= {"set": _set_snapshot(ledger), "hash": _hash_snapshot(ledger), "list": _list_snapshot(ledger)}
+    return transactions.apply_transactions(named, _committed(ledger, "transaction_log"), FIRST_ID)
+
+
+@query("void_transactions", f"WITH {_VOID}\nSELECT txn_id, reason FROM void")
+def _void_transactions(ledger: Ledger):
+    return transactions.void_transactions(
+        ledger["job"],
+        _set_snapshot(ledger),
+        _committed(ledger, "transaction_log").select(
+            "txn_id", "seq",
+            *[F.when(F.col("target").isin("set", "job"), F.col("op")).alias("op")],
+            *[F.when(F.col("target") == "set", F.col(c)).alias(c) for c in ("key", "item")],
+            F.when(F.col("target") == "job", F.col("jobid")).alias("jobid"),
+        ),
+    )
+
+
+@query(
+    "apply_transactions",
+    _items_check("score", f"{_VOID},\nc AS (SELECT seq, key, item, {_AS_ADDED}, expire_at FROM good WHERE target = 'set')")
+    + f""",
+last_state AS (SELECT jobid, max(seq) AS seq, arg_max(name, seq) AS name FROM good WHERE target = 'job' AND op = 'set_state' GROUP BY jobid),
+last_expiry AS (SELECT jobid, arg_max(ts, seq) AS ts, arg_max(coalesce(ttl_seconds, -1), seq) AS ttl
+                FROM good WHERE target = 'job' AND op = 'expire_job' GROUP BY jobid),
+fields AS (SELECT key, item, min(seq) AS born, arg_max(value, seq) AS value FROM good WHERE target = 'hash' GROUP BY key, item)
+SELECT 'set' AS target, id, key AS owner, item AS what, CAST(score AS VARCHAR) AS value, expireat FROM done
+UNION ALL
+SELECT 'job', j.id, CAST(coalesce({FIRST_ID} + l.seq, j.stateid) AS VARCHAR), coalesce(l.name, j.statename), j.invocationdata,
+       CASE WHEN e.jobid IS NULL THEN j.expireat WHEN e.ttl >= 0 THEN e.ts + to_seconds(CAST(floor(e.ttl) AS BIGINT)) END
+FROM ll_job j LEFT JOIN last_state l ON l.jobid = j.id LEFT JOIN last_expiry e ON e.jobid = j.id
+UNION ALL
+SELECT 'state', id, CAST(jobid AS VARCHAR), name, reason, createdat FROM ll_state
+UNION ALL
+SELECT 'state', {FIRST_ID} + seq, CAST(jobid AS VARCHAR), name, reason, ts FROM good
+WHERE target = 'job' AND op IN ('set_state', 'add_state')
+UNION ALL
+SELECT 'queue', id, CAST(jobid AS VARCHAR), queue, CAST(updatecount AS VARCHAR), fetchedat FROM ll_jobqueue
+UNION ALL
+SELECT 'queue', {FIRST_ID} + seq, CAST(jobid AS VARCHAR), queue, '0', NULL FROM good WHERE target = 'queue'
+UNION ALL
+SELECT 'counter', id, key, NULL, CAST(value AS VARCHAR), expireat FROM ll_counter
+UNION ALL
+SELECT 'counter', {FIRST_ID} + seq, key, NULL, '1', ts + to_seconds(CAST(floor(ttl_seconds) AS BIGINT)) FROM good WHERE target = 'counter'
+UNION ALL
+SELECT 'list', id, key, NULL, item, expireat FROM ll_keyed_snapshot
+UNION ALL
+SELECT 'list', {FIRST_ID} + seq, key, NULL, item, NULL FROM good WHERE target = 'list'
+UNION ALL
+SELECT 'hash', s.id, s.key, s.item, coalesce(f.value, CAST(CAST(round(s.score * 100) AS BIGINT) AS VARCHAR)), s.expireat
+FROM ll_keyed_snapshot s LEFT JOIN fields f ON f.key = s.key AND f.item = s.item
+UNION ALL
+SELECT 'hash', {FIRST_ID} + born, key, item, value, NULL FROM fields f
+WHERE NOT EXISTS (SELECT 1 FROM ll_keyed_snapshot s WHERE s.key = f.key AND s.item = f.item)""",
+)
+def _apply_transactions(ledger: Ledger):
+    """All next tables in one shape."""
+    after, _ = _all_tables(ledger)
+    text = lambda c: F.col(c).cast("string")
+    none = F.lit(None).cast("string")
+    shapes = [
+        ("set", "set", F.col("key"), F.col("value"), text("score"), "expireat"),
+        ("job", "job", text("stateid"), F.col("statename"), F.col("invocationdata"), "expireat"),
+        ("state", "state", text("jobid"), F.col("name"), F.col("reason"), "createdat"),
+        ("jobqueue", "queue", text("jobid"), F.col("queue"), text("updatecount"), "fetchedat"),
+        ("counter", "counter", F.col("key"), none, text("value"), "expireat"),
+        ("list", "list", F.col("key"), none, F.col("value"), "expireat"),
+        ("hash", "hash", F.col("key"), F.col("field"), F.col("value"), "expireat"),
+    ]
+    parts = [
+        after[name].select(F.lit(target).alias("target"), "id", owner.alias("owner"), what.alias("what"), value.alias("value"), F.col(at).alias("expireat"))
+        for name, target, owner, what, value, at in shapes
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 _SERVERS = """

@@ -198,6 +198,23 @@ SELECT seq, ts, 'srv-' || CAST(user_id AS STRING) AS id,
        CASE WHEN event_type = 'signup' THEN 'announce' WHEN event_type = 'error' AND seq % 4 = 0 THEN 'remove'
             ELSE 'heartbeat' END AS op,
        CASE WHEN event_type = 'signup' THEN '{"WorkerCount":' || CAST(k AS STRING) || ',"Queues":["default"]}' END AS data
+FROM ll_cmd_base""",
+    # One log over all tables: a transaction's five commands go to different ones.
+    "transaction_log": """
+SELECT seq, txn_id, committed, ts,
+       CASE WHEN event_type = 'view' THEN 'job' WHEN event_type <> 'purchase' THEN 'set'
+            ELSE CASE k % 4 WHEN 0 THEN 'queue' WHEN 1 THEN 'counter' WHEN 2 THEN 'hash' ELSE 'list' END END AS target,
+       CASE WHEN event_type = 'view' THEN CASE k % 4 WHEN 0 THEN 'add_state' WHEN 1 THEN 'expire_job' ELSE 'set_state' END
+            WHEN event_type = 'click' THEN 'insert'
+            WHEN event_type = 'signup' THEN CASE WHEN k % 10 = 0 THEN 'remove_key' WHEN k % 10 = 1 THEN 'expire' ELSE 'remove' END
+            WHEN event_type = 'error' THEN CASE WHEN k % 3 = 0 THEN 'remove' ELSE 'add_score' END
+            ELSE CASE k % 4 WHEN 0 THEN 'enqueue' WHEN 1 THEN 'increment' WHEN 2 THEN 'add' ELSE 'insert' END END AS op,
+       'k' || CAST(user_id AS STRING) AS key, 'v' || CAST(k % 20 AS STRING) AS item, amount AS score,
+       'p' || CAST(k AS STRING) AS value, CASE WHEN event_type = 'signup' THEN ts + INTERVAL '1' DAY END AS expire_at,
+       user_id * 7 + k % 7 + CASE WHEN seq % 503 = 0 THEN 2000000000 ELSE 0 END AS jobid,
+       CASE WHEN event_type = 'view' THEN 'Succeeded' END AS name, 'k ' || CAST(k AS STRING) AS reason,
+       '{"K":"' || CAST(k AS STRING) || '"}' AS data, CASE WHEN k % 3 = 0 THEN NULL ELSE k * 60 + 0.75 END AS ttl_seconds,
+       event_type || '-queue' AS queue, CAST(NULL AS INT) AS trim_from, CAST(NULL AS INT) AS trim_to
 FROM ll_cmd_base""",
     "lease_commands": """
 SELECT seq, 2 * (user_id * 7 + k % 7) AS id, ts,
@@ -244,6 +261,8 @@ def _with_views(text: str) -> str:
         return text
     body = text.strip()
     # A text that brings its own WITH list continues ours.
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {views},\n{body[15:].lstrip()}"
     return f"WITH {views},\n{body[4:].lstrip()}" if body[:5].upper() == "WITH " else f"WITH {views}\n{body}"
 
 

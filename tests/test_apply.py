@@ -171,31 +171,6 @@ def test_many_transactions_tag_their_jobs(frame):
     assert sum(n for k, n in found.items() if k.startswith("job:")) == 2000
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_range_inserts_equal_replay(frame, seed):
-    rng = random.Random(seed)
-    stored = {("k", f"v{i}") for i in range(3)}
-    batches = {t: [("k" if rng.random() < 0.5 else "l", f"v{rng.randrange(40)}") for _ in range(rng.randrange(1, 4))] for t in range(40)}
-    have, void = set(stored), set()
-    for t, items in batches.items():
-        if len(set(items)) < len(items) or have & set(items):
-            void.add(t)
-        else:
-            have |= set(items)
-    commands = frame([(t, 10 * t + n, k, v) for t, items in batches.items() for n, (k, v) in enumerate(items)], "txn_id LONG, seq LONG, key STRING, item STRING")
-    sets = frame([(i, k, 1.0, v, None) for i, (k, v) in enumerate(sorted(stored))], SET)
-    after, failed = apply.apply_set_range(sets, commands, BASE)
-    assert {(r.key, r.value) for r in after.collect()} == have and after.count() == len(have)
-    assert {r.txn_id for r in failed.collect()} == void
-
-
-def test_range_insert_chain_settles_in_order(frame):
-    """Each transaction collides with the next one only: every other one survives."""
-    commands = frame([(t, 10 * t + n, "k", f"v{t + n}") for t in range(6) for n in range(2)], "txn_id LONG, seq LONG, key STRING, item STRING")
-    _, failed = apply.apply_set_range(frame([], SET), commands)
-    assert sorted(r.txn_id for r in failed.collect()) == [1, 3, 5]
-
-
 def replay_list(start, log, base=BASE):
     """Sequential meaning of list commands; rows are [id, key, value, expireat]."""
     rows = [list(r) for r in start]

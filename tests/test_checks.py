@@ -14,8 +14,8 @@ from ledgerline.plans.registry import all_checks, all_queries
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 SMALL = "/root/testdata/sf0.001"
-# Each result without SQL has a replay test over the same operator in test_apply.py.
-REPLAYED = {"apply_list_with_trims", "apply_set_range"}
+# The result without SQL has a replay test over the same operator in test_apply.py.
+REPLAYED = {"apply_list_with_trims"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables are absent")
 
@@ -51,21 +51,6 @@ def test_list_query_equals_replay(spark):
     assert sorted(str(list(row)) for row in got) == want
 
 
-def test_set_range_query_equals_replay(spark):
-    ledger = Ledger(spark, SMALL)
-    have = {(key, item) for key, item in collected(ledger["keyed_snapshot"].select("key", "item"))}
-    adds = ledger["keyed_commands"].where("committed AND op IN ('add', 'add_score')").select("txn_id", "key", "value")
-    batches = {}
-    for txn, key, item in collected(adds):
-        batches.setdefault(txn, []).append((key, item))
-    for txn in sorted(batches):
-        items = set(batches[txn])
-        if len(items) == len(batches[txn]) and not have & items:
-            have |= items
-    got = entry.queries()["apply_set_range"](spark, SMALL).collect()
-    assert {(row.key, row.value) for row in got} == have and len(got) == len(have)
-
-
 def test_every_other_query_has_sql():
     assert set(all_queries()) - set(all_checks()) == REPLAYED
 
