@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from ledgerline.functions.ranking import deep_page
+from ledgerline.session import stored
+
 Keys = DataFrame | Sequence[str] | Sequence[int] | None
 
 # A page this long or shorter is small enough to broadcast whatever the size of the ledger.
@@ -72,3 +75,12 @@ def merged(snapshot: DataFrame, changes: DataFrame, keys: list[str], extended: D
 def check_page(offset: int, limit: int) -> None:
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must not be negative")
+
+
+def id_page(rows: DataFrame, offset: int, limit: int, descending: bool = False, derived: bool = False) -> DataFrame:
+    """Page by a unique integer ``id``. Near the top every task sends its first rows to one; a deep page is looked up by
+    counts first, so that no task gets the rows before it. ``derived`` rows are written before they are counted."""
+    check_page(offset, limit)
+    if offset + limit > BROADCAST_ROWS:
+        return deep_page(stored(rows) if derived else rows, "id", offset, limit, descending)
+    return rows.orderBy(F.col("id").desc() if descending else F.col("id")).offset(offset).limit(limit)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.clock import as_datetime, instant
 from ledgerline.functions.payload import SERVER_PAYLOAD, state_fields, utc_time, whole_number
 from ledgerline.functions.ranking import range_per_key
-from ledgerline.operators.keys import Keys, bounded, check_page, group, restrict
+from ledgerline.operators.keys import Keys, bounded, check_page, group, id_page, restrict
 
 # State names, counter keys and the key of the recurring-job set.
 STATE_NAMES = ("Enqueued", "Scheduled", "Processing", "Succeeded", "Failed", "Deleted")
@@ -57,14 +57,7 @@ def with_current_state(page: DataFrame, state: DataFrame, rows: int | None = Non
 
 def jobs_in_state(job: DataFrame, state: DataFrame, name: str, offset: int, limit: int) -> DataFrame:
     """One page of the jobs in a state, newest id first, with the current state's reason and data."""
-    check_page(offset, limit)
-    page = (
-        job.where(F.col("statename") == name)
-        .select(*_JOB_COLUMNS)
-        .orderBy(F.col("id").desc())
-        .offset(offset)
-        .limit(limit)
-    )
+    page = id_page(job.where(F.col("statename") == name).select(*_JOB_COLUMNS), offset, limit, descending=True)
     return with_current_state(page, state, limit)
 
 

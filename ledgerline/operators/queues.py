@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.clock import as_datetime, instant, seconds_between, whole_seconds
 from ledgerline.functions.payload import state_fields, utc_time
-from ledgerline.functions.ranking import top_per_key
-from ledgerline.operators.keys import bounded, check_page, restrict, with_absent_keys
+from ledgerline.functions.ranking import position_in_order, top_per_key
+from ledgerline.operators.keys import BROADCAST_ROWS, bounded, id_page, restrict, with_absent_keys
 from ledgerline.operators.monitor import with_current_state
 
 # Fixed value: the update counter of a queue row wraps here.
@@ -51,10 +51,9 @@ def _id_page(jobqueue: DataFrame, job: DataFrame, queue: str, fetched: bool, off
 
     Made distinct before the join, so a job queued many times is combined map-side.
     """
-    check_page(offset, limit)
     wanted = F.col("fetchedat").isNotNull() if fetched else F.col("fetchedat").isNull()
     ids = jobqueue.where((F.col("queue") == queue) & wanted).select(F.col("jobid").alias("id")).distinct()
-    return ids.join(job.select("id"), "id", "left_semi").orderBy("id").offset(offset).limit(limit)
+    return id_page(ids.join(job.select("id"), "id", "left_semi"), offset, limit, derived=True)
 
 
 def enqueued_job_ids(jobqueue: DataFrame, job: DataFrame, queue: str, offset: int, limit: int) -> DataFrame:
@@ -144,13 +143,19 @@ def claim_order() -> list[Column]:
 def claim_batch(
     jobqueue: DataFrame, names: Sequence[str], timeout: timedelta, asof: datetime | str, workers: int
 ) -> DataFrame:
-    """The rows ``workers`` idle workers take now, stamped, with the worker's ``slot``."""
+    """The rows ``workers`` idle workers take now, stamped, with the worker's ``slot``.
+
+    Few workers' rows are the first of each task's first; for many, rows are numbered in ranges of the claim order."""
     if workers < 1:
         raise ValueError("at least one worker is needed")
-    first = claimable(jobqueue, names, timeout, asof).orderBy(*claim_order()).limit(workers)
+    free = claimable(jobqueue, names, timeout, asof)
+    if workers > BROADCAST_ROWS:
+        placed = position_in_order(free, [], claim_order(), "slot").where(F.col("slot") < workers)
+        return stamped(placed.withColumn("slot", F.col("slot") + 1), asof)
+    first = free.orderBy(*claim_order()).limit(workers)
     # Only the claimed rows, one per worker, meet in this window.
     slots = first.withColumn("slot", F.row_number().over(Window.orderBy(*claim_order())))
-    return _stamped(slots, asof)
+    return stamped(slots, asof)
 
 
 def claim_per_queue(
@@ -160,10 +165,10 @@ def claim_per_queue(
     if workers < 1:
         raise ValueError("at least one worker is needed")
     free = claimable(jobqueue, names, timeout, asof)
-    return _stamped(top_per_key(free, ["queue"], claim_order(), workers).withColumnRenamed("rank", "slot"), asof)
+    return stamped(top_per_key(free, ["queue"], claim_order(), workers).withColumnRenamed("rank", "slot"), asof)
 
 
-def _stamped(claims: DataFrame, asof: datetime | str) -> DataFrame:
+def stamped(claims: DataFrame, asof: datetime | str) -> DataFrame:
     return claims.select(
         "id",
         "jobid",

@@ -226,6 +226,12 @@ FROM ll_cmd_base""",
 SELECT id, CASE WHEN id % 4 < 2 THEN fetchedat ELSE fetchedat - INTERVAL '1' SECOND END AS token,
        {TS:1999-01-01 00:00:00} AS ts
 FROM ll_jobqueue WHERE fetchedat IS NOT NULL""",
+    # Workers and the queues that each listens to.
+    "listeners": """
+SELECT o_orderkey AS worker,
+       CASE CAST(floor(o_orderkey / 10) AS BIGINT) % 5 WHEN 0 THEN 'urgent' WHEN 1 THEN 'urgent,high' WHEN 2 THEN 'urgent,none' WHEN 3 THEN 'medium,urgent,low'
+                           ELSE 'high,low,low' END AS queues
+FROM @orders WHERE o_orderkey % 10 = 0""",
     # An extract in an older shape: narrow ids, empty payload text, a column since dropped.
     "old_job": """
 SELECT CAST(id AS INT) AS id, CAST(id % 1000 AS INT) AS stateid, statename,

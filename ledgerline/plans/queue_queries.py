@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from ledgerline.operators import leases, maintain, queues
+from pyspark.sql import functions as F
+
+from ledgerline.operators import claims, leases, maintain, queues
 from ledgerline.plans.mapping import ASOF_JOBS, Ledger
 from ledgerline.plans.registry import query
 
@@ -112,6 +114,34 @@ def _apply_claims(ledger: Ledger):
     return queues.apply_claims(ledger["jobqueue"], claims)
 
 
+_EXPIRED = f"fetchedat < TIMESTAMP '{ASOF_JOBS}' + INTERVAL '-1800 SECONDS'"
+
+# One worker after the other; the state is how many rows each queue has given.
+query(
+    "claim_for_workers",
+    f"""
+WITH RECURSIVE free AS (
+  SELECT *, row_number() OVER (ORDER BY fetchedat NULLS FIRST, queue, jobid, id) AS place FROM ll_jobqueue
+  WHERE fetchedat IS NULL OR {_EXPIRED}),
+names AS (SELECT queue, row_number() OVER (ORDER BY queue) AS q FROM (SELECT DISTINCT queue FROM free)),
+heads AS (SELECT n.q, f.place, row_number() OVER (PARTITION BY n.q ORDER BY f.place) - 1 AS k FROM free f JOIN names n ON n.queue = f.queue),
+turns AS (SELECT worker, list(n.q) AS qs, row_number() OVER (ORDER BY worker) AS n
+          FROM (SELECT DISTINCT worker, unnest(string_split(queues, ',')) AS queue FROM ll_listeners) l JOIN names n ON n.queue = l.queue
+          GROUP BY worker),
+replay(n, worker, best, given) AS (
+  SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), (SELECT list(CAST(0 AS BIGINT)) FROM names)
+  UNION ALL
+  SELECT n, worker, best[1], [CASE WHEN i = best[2] THEN given[i] + 1 ELSE given[i] END FOR i IN range(1, len(given) + 1)]
+  FROM (SELECT t.n, t.worker, any_value(r.given) AS given, min([h.place, h.q]) AS best
+        FROM replay r JOIN turns t ON t.n = r.n + 1 LEFT JOIN heads h ON list_contains(t.qs, h.q) AND h.k = r.given[h.q]
+        GROUP BY t.n, t.worker))
+{_CLAIMED.replace(", slot", ", r.worker AS slot")} FROM replay r JOIN free f ON f.place = r.best""",
+)(
+    lambda ledger: claims.claim_for_workers(
+        ledger["jobqueue"], ledger["listeners"].withColumn("queues", F.split("queues", ",")), TIMEOUT, ASOF_JOBS
+    )
+)
+
 query(
     "apply_acks",
     """

@@ -42,6 +42,7 @@ BATCH = [name for name in all_queries() if not name.startswith("stream_")]
 @pytest.mark.parametrize("name", BATCH)
 def test_no_query_pairs_rows_without_a_key_or_leaves_the_jvm(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
+    # The only batch step in Python, a block of workers at a time, ends in a written table.
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert node not in text
 
