@@ -221,6 +221,11 @@ SELECT seq, 2 * (user_id * 7 + k % 7) AS id, ts,
        CASE event_type WHEN 'click' THEN 'fetch' WHEN 'signup' THEN 'fetch' WHEN 'view' THEN 'keep_alive'
                        WHEN 'purchase' THEN 'ack' ELSE 'requeue' END AS op
 FROM ll_cmd_base""",
+    # The queue when the lease log starts: customers' rows, two in three leased within the last 50 minutes.
+    "queue_at_start": """
+SELECT 2 * c_custkey AS id,
+       CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE {TS:2024-01-01 00:00:00} - (c_custkey % 50) * INTERVAL '1' MINUTE END AS fetchedat
+FROM @customer""",
     # Lease tokens presented by holders: every other row's is up to date, the others are stale.
     "lease_tokens": """
 SELECT id, CASE WHEN id % 4 < 2 THEN fetchedat ELSE fetchedat - INTERVAL '1' SECOND END AS token,

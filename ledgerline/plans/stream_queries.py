@@ -95,21 +95,40 @@ WHERE (next IS NULL OR next >= ts + INTERVAL '30' MINUTE) AND ts + INTERVAL '30'
     )
 )
 
-query(
-    "stream_lease_expiry",
-    f"""
-WITH turns AS (
+
+
+def _leases_check(log: str) -> str:
+    return f"""
+WITH log AS ({log}),
+turns AS (
   SELECT *, last_value(CASE WHEN op <> 'keep_alive' THEN op END IGNORE NULLS)
               OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS turn
-  FROM ll_lease_commands),
+  FROM log),
 gone AS (SELECT id, min(seq) AS gone FROM turns WHERE op = 'ack' AND turn = 'fetch' GROUP BY id),
 acting AS (
   SELECT id, seq, ts, op, lead(ts) OVER (PARTITION BY id ORDER BY seq) AS next
   FROM turns LEFT JOIN gone USING (id) WHERE (gone IS NULL OR seq <= gone) AND (op = 'fetch' OR turn = 'fetch'))
 SELECT id, ts AS fetchedat, ts + INTERVAL '30' MINUTE AS expired_at FROM acting
 WHERE op IN ('fetch', 'keep_alive')
-  AND (next > ts + INTERVAL '30' MINUTE OR (next IS NULL AND ts + INTERVAL '30' MINUTE < {_FINAL}))""",
-)(lambda ledger: _emitted(ledger, timers.lease_stream(stream_view(ledger, "lease_commands"), TIMEOUT, DELAY)))
+  AND (next > ts + INTERVAL '30' MINUTE OR (next IS NULL AND ts + INTERVAL '30' MINUTE < {_FINAL}))"""
+
+
+query("stream_lease_expiry", _leases_check("SELECT * FROM ll_lease_commands"))(
+    lambda ledger: _emitted(ledger, timers.lease_stream(stream_view(ledger, "lease_commands"), TIMEOUT, DELAY))
+)
+
+query(
+    # A lease of the queue is a fetch before the log.
+    "stream_lease_expiry_from_queue",
+    _leases_check("""
+SELECT seq, id, ts, op FROM ll_lease_commands WHERE id IN (SELECT id FROM ll_queue_at_start)
+UNION ALL SELECT -1, id, fetchedat, 'fetch' FROM ll_queue_at_start WHERE fetchedat IS NOT NULL"""),
+)(
+    lambda ledger: _emitted(
+        ledger,
+        timers.lease_stream(stream_view(ledger, "lease_commands"), TIMEOUT, DELAY, queue=ledger["queue_at_start"]),
+    )
+)
 
 query(
     "stream_counter_expiry",
