@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import classifier, mixing
@@ -128,6 +129,21 @@ def test_odd_input(spark, documents):
 
 
 
+def test_columns_with_clashing_names_pass_through(spark, documents):
+    """Extra columns named like anything inside a stage come out as they went in."""
+    names = ["own", "row", "doc", "kept", "_own", "_mark", "_tie", "_id", "_kept", "_share", "_of", "_words", "_part", "taken", "target", "predicted", "a.b"]
+    rows = [(i, f"{w} " * 3 + " ".join(f"{w}{j}" for j in range(60)), "st"[i % 2]) for i, w in enumerate(["alpha", "beta", "gamma", "alpha", "delta"])]
+    rows.append((9, rows[0][1] + " more words", "s"))
+    for docs in (documents(rows), documents([*rows, (1, "shares an id " * 20, "s")])):
+        docs = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, FOLDER)
+            got = out.collect()
+            if name != "packing":
+                assert out.columns == docs.columns
+                assert name == "quality_classifier" or got
+                assert all(r[n] == f"{n} {r.doc_id}" for r in got for n in names)
+
 
 def test_rows_that_share_an_id_are_documents(spark, documents):
     """Null and repeated ids with different texts: nothing goes but near copies, repeats and what no budget covers."""
