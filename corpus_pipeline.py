@@ -26,8 +26,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = classifier.fit(*classifier.training_rows(docs, labels))
     # Statistics read the text; the document's own columns travel beside it in one struct.
-    whole = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    return classifier.score(whole, model, ["_row"]).where("predicted = 1").select("_row.*")
+    return _replaced(classifier.score(_whole(docs, "text"), model, ["row"]).where("predicted = 1"), docs.columns)
+
+
+def _whole(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns that a stage reads, and the document as one struct: no column of its own can clash with a stage's."""
+    return docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def _replaced(rows: DataFrame, names: list[str], **values) -> DataFrame:
+    """The documents in ``row`` with some columns replaced."""
+    return rows.select(*[values[c].alias(c) if c in values else F.col("row").getField(c).alias(c) for c in names])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +44,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows are linked by their texts alone. Documents without words are no near-duplicates and all stay.
     """
-    rows = with_row_keys(Steps(spark), docs, "_own")
-    found = neardup.near_duplicates(rows.select(F.col("_own").alias("doc_id"), "text"), SHINGLE_WORDS, SIMILAR_PERCENT)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_own"))
+    rows = with_row_keys(Steps(spark), _whole(docs, "doc_id", "text"), "own")
+    found = neardup.near_duplicates(rows.select(F.col("own").alias("doc_id"), "text"), SHINGLE_WORDS, SIMILAR_PERCENT)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("own"))
     # The list grows with the corpus, so it is not broadcast.
-    return rows.join(gone.hint("merge"), "_own", "left_anti").select(*docs.columns)
+    return _replaced(rows.select("own", "row").join(gone.hint("merge"), "own", "left_anti"), docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,29 +57,31 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A cut inside a character removes the whole character. Documents of which nothing but blanks is left go.
     """
     steps = Steps(spark)
-    rows = with_text_keys(steps, docs, "_own")
-    source = rows.select(F.col("_own").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    rows = with_text_keys(steps, _whole(docs, "doc_id", "text"), "own")
+    source = rows.select(F.col("own").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     # Rows that share this key have the same text, and so the same bytes are left of them.
     found = steps.table(
-        repeats.removed(steps, source).where("n_removed > 0").select(F.col("doc").alias("_own"), F.col("kept").alias("_kept")).dropDuplicates(["_own"])
+        repeats.removed(steps, source).where("n_removed > 0").select(F.col("doc").alias("own"), "kept").dropDuplicates(["own"])
     )
+    joined = rows.select("own", "row").join(found.hint("merge"), "own", "left")
     # Bytes that are left of a cut character are no UTF-8; they are dropped.
-    cut = F.try_validate_utf8(F.col("_kept").cast("string"))
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(
-        F.coalesce(cut, F.replace(F.make_valid_utf8(F.col("_kept").cast("string")), F.lit("�"), F.lit("")))
+    kept = F.col("kept").cast("string")
+    cut = F.coalesce(F.try_validate_utf8(kept), F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit("")))
+    whole = F.col("kept").isNull()
+    text = F.when(whole, F.col("row.text")).otherwise(cut)
+    changed = joined.where(whole | text.rlike(r"[^\x20\x09-\x0D]"))
+    return _replaced(
+        changed, docs.columns, text=text, n_chars=F.when(whole, F.col("row.n_chars")).otherwise(F.length(text).cast("bigint"))
     )
-    joined = rows.join(found.hint("merge"), "_own", "left").withColumn("text", text)
-    changed = joined.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return changed.where(F.col("_kept").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's weight asks for; at each source's budget the last one is cut."""
     steps = Steps(spark)
-    rows = with_row_keys(steps, docs, "_own")
-    own = rows.withColumnsRenamed({"doc_id": "_id", "_own": "doc_id"})
+    rows = with_row_keys(steps, _whole(docs, "doc_id", "text", "source", "n_chars"), "own")
+    own = rows.select(F.col("own").alias("doc_id"), "text", "source", "n_chars", "row")
     taken = mixing.taken_documents(own, steps.table(mixing.mix(own)))
-    return taken.drop("doc_id").withColumnRenamed("_id", "doc_id").select(*docs.columns)
+    return _replaced(taken, docs.columns, text=F.col("text"), n_chars=F.col("n_chars"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
