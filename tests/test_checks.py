@@ -14,8 +14,6 @@ from ledgerline.plans.registry import all_checks, all_queries
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 SMALL = "/root/testdata/sf0.001"
-# The result without SQL has a replay test over the same operator in test_apply.py.
-REPLAYED = {"apply_list_with_trims"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables are absent")
 
@@ -28,8 +26,7 @@ def engine():
 @pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, engine, name):
     outcome = check.check(spark, engine, FOLDER, name)
-    assert outcome.startswith("rows-only" if name in REPLAYED else "ok"), outcome
-    assert not outcome.endswith(("EMPTY", "rows-only 0"))
+    assert outcome.startswith("ok") and not outcome.endswith("EMPTY"), outcome
 
 
 def collected(df):
@@ -51,8 +48,8 @@ def test_list_query_equals_replay(spark):
     assert sorted(str(list(row)) for row in got) == want
 
 
-def test_every_other_query_has_sql():
-    assert set(all_queries()) - set(all_checks()) == REPLAYED
+def test_every_query_has_sql():
+    assert set(all_queries()) == set(all_checks())
 
 
 def test_flagship(spark):
