@@ -4,8 +4,12 @@ Rows are dealt by hash into shards of bounded size. In each shard equal vectors
 searches over the graph so far propose neighbours for a batch of new nodes, and relaxed distance pruning
 keeps those that no kept neighbour is much closer to. Vectors get one more component that makes them equally
 long, so largest inner product and least distance agree; queries have 0 there. Every query is answered in
-every shard by beam search, the beam is scored in double precision on the original vectors, and a window
-keeps the best of all shards.
+every shard by beam search from a central node and the longest ones, the beam is scored in double precision on
+the original vectors, and a window keeps the best of all shards.
+
+How wide a beam must be depends on the vectors. So each shard, once built, asks some of its own vectors, compares
+with all inner products, and doubles its beam until enough of the true neighbours come up. A shard whose graph
+does not lead there with the widest beam is searched row by row.
 """
 
 from __future__ import annotations
@@ -25,19 +29,27 @@ SLACK = 16  # edges above the degree before a node is pruned again
 BEAM = 64
 RELAX = 1.2
 BATCH = 512
+ENTRIES = 16
+# A shard's beam is measured with so many of its vectors, and doubled until this share of their neighbours is found.
+MEASURED = 128
+RECALL = 0.95
+WIDEST = 256
 
 
 def beam_search(
-    vectors: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int
+    vectors: np.ndarray, graph: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Nodes in each query's final beam, best first, and all nodes that its search expanded; -1 pads both."""
+    entries = entries[:beam]
     rows, width = len(queries), graph.shape[1]
     ids = np.full((rows, beam), -1, np.int32)
     sims = np.full((rows, beam), -np.inf, np.float32)
     done = np.zeros((rows, beam), bool)
     seen = np.zeros((rows, len(vectors)), bool)
-    ids[:, 0], seen[:, entry] = entry, True
-    sims[:, 0] = queries @ vectors[entry]
+    first = queries @ vectors[entries].T
+    order = np.argsort(-first, 1, kind="stable")
+    ids[:, : len(entries)], seen[:, entries] = entries[order], True
+    sims[:, : len(entries)] = np.take_along_axis(first, order, 1)
     expanded = []
     active = np.arange(rows)
     while len(active):
@@ -111,7 +123,7 @@ def build_graph(vectors: np.ndarray, square: float, entry: int, degree: int = DE
     at = 1
     while at < n:
         batch = order[at : at + min(BATCH, at)]
-        _, expanded = beam_search(vectors, graph, entry, vectors[batch], beam)
+        _, expanded = beam_search(vectors, graph, order[:1], vectors[batch], beam)
         kept = robust_prune(vectors, square, batch, expanded, degree, relax)
         graph[batch, :degree] = kept
         fill[batch] = (kept >= 0).sum(1)
@@ -142,7 +154,7 @@ def build_graph(vectors: np.ndarray, square: float, entry: int, degree: int = DE
 class Shard:
     """One shard's vectors, graph and ids, as they are stored."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int = 20, beam: int = BEAM):
         order = np.lexsort((ids, *vectors.T[::-1]))
         ids, vectors = ids[order], vectors[order]
         new = np.ones(len(ids), bool)
@@ -150,9 +162,12 @@ class Shard:
         self.ids, self.vectors = ids, vectors[new]
         self.starts = np.append(np.flatnonzero(new), len(ids))  # members of a node, by id
         flat, square = self.flat()
-        middle = flat.mean(0)
-        self.entry = int(np.argmax(flat @ middle))
-        self.graph = build_graph(flat, square, self.entry)
+        middle = int(np.argmax(flat @ flat.mean(0)))
+        self.graph = build_graph(flat, square, middle)
+        # The longest vectors have the least in the last component.
+        longest = np.argsort(flat[:, -1], kind="stable")[:ENTRIES]
+        self.entries = np.concatenate(([middle], longest[longest != middle]))[:ENTRIES]
+        self.beam = self.measured_beam(flat, k, beam)
 
     def flat(self) -> tuple[np.ndarray, float]:
         # Scaled by a power of two, so that squares neither overflow nor vanish in single precision.
@@ -163,9 +178,31 @@ class Shard:
         last = np.sqrt(np.maximum(most - squares, 0))
         return np.column_stack([scaled, last]).astype(np.float32), most
 
+    def measured_beam(self, flat: np.ndarray, k: int, beam: int) -> int:
+        """The first beam, doubled from the given one, that finds enough of the nearest nodes; 0 if none up to the widest does."""
+        chosen = np.random.default_rng(13).permutation(len(flat))[:MEASURED]
+        queries = flat[chosen].copy()
+        queries[:, -1] = 0
+        sims = queries @ flat.T
+        sims[np.arange(len(chosen)), chosen] = -np.inf
+        k = min(k, len(flat) - 1)
+        if k < 1:
+            return beam
+        # What is as near as the k-th counts as found: nodes may tie in single precision.
+        least = -np.partition(-sims, k - 1, 1)[:, k - 1]
+        while beam <= WIDEST:
+            nodes, _ = beam_search(flat, self.graph, self.entries, queries, max(beam, k + 1))
+            near = np.take_along_axis(sims, np.maximum(nodes, 0), 1) >= least[:, None]
+            if np.minimum((near & (nodes >= 0)).sum(1), k).mean() >= RECALL * k:
+                return beam
+            beam *= 2
+        return 0
+
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, ids=self.ids, vectors=self.vectors, starts=self.starts, graph=self.graph, entry=self.entry)
+        np.savez(
+            out, ids=self.ids, vectors=self.vectors, starts=self.starts, graph=self.graph, entries=self.entries, beam=self.beam
+        )
         return out.getvalue()
 
     @classmethod
@@ -173,15 +210,18 @@ class Shard:
         shard = cls.__new__(cls)
         with np.load(io.BytesIO(data)) as stored:
             shard.ids, shard.vectors, shard.starts, shard.graph = (stored[k] for k in ("ids", "vectors", "starts", "graph"))
-            shard.entry = int(stored["entry"])
+            shard.entries, shard.beam = stored["entries"], int(stored["beam"])
         return shard
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, ...]:
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
         """The ``k`` best rows for each query, its own row left out: query ids, row ids, scores."""
         flat, _ = self.flat()
         length = np.abs(queries).max(1, keepdims=True)
         scaled = np.column_stack([queries / length, np.zeros(len(queries))]).astype(np.float32)
-        nodes, _ = beam_search(flat, self.graph, self.entry, scaled, max(beam, k + 1))
+        if self.beam:
+            nodes, _ = beam_search(flat, self.graph, self.entries, scaled, max(self.beam, k + 1))
+        else:  # twice as many as are wanted, for those that tie in single precision
+            nodes = np.argsort(-(scaled @ flat.T), 1, kind="stable")[:, : 2 * k + 1]
         out = ([], [], [])
         for query_id, query, found in zip(query_ids, queries, nodes):
             found = found[found >= 0]
@@ -211,8 +251,11 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     ).withColumn("dim", F.size("vector"))
 
 
-def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, dict[int, int]]:
-    """Index rows ``dim, shard, data`` (lazy), and the number of shards per number of components."""
+def build_index(
+    rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS, beam: int = BEAM
+) -> tuple[DataFrame, dict[int, int]]:
+    """Index rows ``dim, shard, data`` (lazy), and the number of shards per number of components. Beams are
+    measured for the ``k`` nearest."""
     counts = {r["dim"]: r["count"] for r in rows.groupBy("dim").count().collect()}
     shards = {dim: max(1, -(-count // shard_rows)) for dim, count in counts.items()}
     number = F.lit(1)
@@ -222,7 +265,7 @@ def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFram
     def build(keys, table):
         ids = table.column("id").to_numpy().astype(np.int64)
         flat = table.column("vector").combine_chunks().flatten().to_numpy().astype(np.float64)
-        shard = Shard(ids, flat.reshape(len(ids), keys[0].as_py()))
+        shard = Shard(ids, flat.reshape(len(ids), keys[0].as_py()), k, beam)
         return pa.table({"dim": [keys[0].as_py()], "shard": [keys[1].as_py()], "data": [shard.dump()]}, schema=_INDEX)
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), number).cast("int"))
@@ -232,7 +275,7 @@ def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFram
 _INDEX = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), ("data", pa.binary())])
 
 
-def search_index(index: DataFrame, shards: dict[int, int], queries: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
+def search_index(index: DataFrame, shards: dict[int, int], queries: DataFrame, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` best rows found for each query, best first, ties by id."""
     spread = F.array().cast("array<int>")
     for dim, n in shards.items():
@@ -253,7 +296,7 @@ def search_index(index: DataFrame, shards: dict[int, int], queries: DataFrame, k
 
         def flush():
             ids = np.array([i for i, _ in waiting], np.int64)
-            found = shard.search(ids, np.array([v for _, v in waiting], np.float64), k, beam)
+            found = shard.search(ids, np.array([v for _, v in waiting], np.float64), k)
             waiting.clear()
             return pa.RecordBatch.from_arrays(list(map(pa.array, found)), names=["query_id", "vec_id", "score"])
 
@@ -290,5 +333,5 @@ def nearest(
     """
     steps = Steps(vectors.sparkSession)
     rows = usable(vectors, id_column, vector_column)
-    index, shards = build_index(rows, shard_rows)
-    return search_index(steps.table(index), shards, rows.where(chosen), k, beam)
+    index, shards = build_index(rows, k, shard_rows, beam)
+    return search_index(steps.table(index), shards, rows.where(chosen), k)

@@ -83,5 +83,35 @@ def test_stored_shard_is_the_same():
     shard = ann.Shard(np.arange(300), rng.normal(size=(300, 6)))
     again = ann.Shard.load(shard.dump())
     q = rng.normal(size=(10, 6))
-    for a, b in zip(shard.search(np.arange(10), q, 5, 32), again.search(np.arange(10), q, 5, 32)):
+    assert again.beam == shard.beam
+    for a, b in zip(shard.search(np.arange(10), q, 5), again.search(np.arange(10), q, 5)):
         assert (a == b).all()
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.5, 1.0])
+def test_vectors_without_clusters(spark, spread):
+    """Recall holds where neighbours are hardly nearer than others, and where a few long vectors are near to all."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 64)) * rng.lognormal(0, spread, (4000, 1))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = found(ann.nearest(frame(spark, rows), F.col("id") % 20 == 0, 20, shard_rows=1400))
+    want = brute(rows, lambda q: q % 20 == 0, 20)
+    assert set(got) == set(want) and recall(got, want) >= 0.9
+
+
+def test_full_shard_without_clusters():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(ann.SHARD_ROWS, 64))
+    chosen = np.arange(0, len(x), 40)
+    found_for, ids, _ = ann.Shard(np.arange(len(x)), x).search(chosen, x[chosen], 20)
+    sims = x[chosen] @ x.T
+    sims[np.arange(len(chosen)), chosen] = -np.inf
+    best = np.argsort(-sims, 1)[:, :20]
+    assert sum(np.isin(best[i], ids[found_for == q]).sum() for i, q in enumerate(chosen)) >= 0.9 * best.size
+
+
+def test_beam_follows_the_vectors():
+    rng = np.random.default_rng(8)
+    near = ann.Shard(np.arange(3000), clustered(rng, 3000, 16, 1.0))
+    far = ann.Shard(np.arange(3000), rng.normal(size=(3000, 64)))
+    assert near.beam == ann.BEAM and (far.beam == 0 or far.beam > ann.BEAM)
