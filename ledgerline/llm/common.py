@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Sequence
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -137,21 +136,3 @@ def running_total(
     return summed.select(
         *df.columns, *[(F.col(f"_b_{n}") + F.col(f"_w_{n}")).cast("bigint").alias(n) for n in values]
     )
-
-
-@contextmanager
-def partitions(spark: SparkSession, bytes_each: int):
-    """Scan splits of at most so many bytes while a step is planned; the session's own value if smaller."""
-    key = "spark.sql.files.maxPartitionBytes"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(min(_bytes(old), bytes_each)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
-
-
-def _bytes(text: str) -> int:
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = text.lower().removesuffix("b")
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.keys import group
 from ledgerline.session import new_folder
 
 # Fixed values of the formats.
@@ -144,9 +145,11 @@ def marked(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload")
     ).withColumn("same", F.when(F.octet_length("payload") >= least_bytes, F.sha2("payload", 256)))
-    # Only payloads that occur twice; a payload that a third of the pages share is one row per task.
-    several = rows.where("same IS NOT NULL").groupBy("same").agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("_n"))
-    return rows.join(several.where("_n > 1").drop("_n"), "same", "left").drop("same")
+    # Only payloads that occur twice; a payload that a third of the pages share is one row per task. Grouped by a
+    # struct, so that the join shuffles anew and a hot payload's pages can be split over tasks, each with its archive.
+    several = group(rows.where("same IS NOT NULL"), "same").agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("_n"))
+    several = several.where("_n > 1").select("_by.same", "response")
+    return rows.join(several, "same", "left").drop("same")
 
 
 def write(pages: DataFrame, path: str, least_bytes: int = 0) -> None:

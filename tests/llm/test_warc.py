@@ -69,3 +69,27 @@ def test_ties_nulls_and_empty(spark):
     got = sorted((r.page_id is not None, r.page_id or 0, r.record_type, r.refers_to) for r in warc.archived(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == [(False, 0, "response", None), (False, 0, "revisit", 1), (True, 0, "revisit", 1), (True, 1, "response", None), (True, 1, "response", None)]
     assert warc.archived(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_hot_payload_is_split(spark, tmp_path):
+    """Pages that share one payload spread over tasks, and so over archives, once the list is joined by shuffles."""
+    page = "".join(random.Random(3).choice("abcdefghijklmnopqrstuvwxyz <>") for _ in range(2000))
+    rows = [(i, "u", page if i % 3 else f"{i} {page[: i % 50]}", None, None) for i in range(6000)]
+    rows += [(6000 + i, "u", f"{i} {page[: i % 50]}", None, None) for i in range(0, 6000, 3)]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        warc.write(spark.createDataFrame(rows, SCHEMA).repartition(8), str(tmp_path / "w"))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    revisits = []
+    for part in (tmp_path / "w").glob("part-*"):
+        found = [warc.parse(data) for data in warc.records_of(part.read_bytes())]
+        revisits.append(sum(r["refers_to"] == 5999 for r in found))
+    assert sum(revisits) == 3999 and max(revisits) < 2000
