@@ -17,7 +17,6 @@ from ledgerline.plans.mapping import Ledger, stream_view
 from ledgerline.plans.registry import query
 from ledgerline.plans.upkeep_queries import ROLLUP_CHECK
 from ledgerline.session import work_dir
-from ledgerline.sources.snapshots import SnapshotStore
 from ledgerline.streaming import runs, timelines, timers
 
 DELAY = "1 hour"
@@ -38,11 +37,9 @@ def _emitted(ledger: Ledger, results: DataFrame) -> DataFrame:
 @query("stream_counter_rollup", ROLLUP_CHECK)
 def _rollup(ledger: Ledger) -> DataFrame:
     folder = _run_folder(ledger)
-    store = SnapshotStore(ledger.spark, f"{folder}/store")
-    base = store.publish({"aggregatedcounter": ledger["aggregatedcounter"]})
-    deltas = stream_view(ledger, "counter")
-    runs.rollup_stream(deltas, store, base, f"{folder}/checkpoint", available_now=True, first_id=FIRST_ID).awaitTermination()
-    return store.read("aggregatedcounter")
+    tiers = runs.counter_tiers(ledger.spark, f"{folder}/out")
+    runs.rollup_stream(stream_view(ledger, "counter"), tiers, f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return runs.rolled_counters(ledger["aggregatedcounter"], tiers, FIRST_ID)
 
 
 for _name, _width, _part, _pattern in (
@@ -73,10 +70,11 @@ FROM ll_job_commands WHERE committed AND op = 'set_state' GROUP BY jobid""",
 def _job_states(ledger: Ledger) -> DataFrame:
     folder = _run_folder(ledger)
     moves = stream_view(ledger, "job_commands").where(F.col("committed") & (F.col("op") == "set_state"))
-    runs.to_batches(
-        moves, f"{folder}/out", f"{folder}/checkpoint", available_now=True, shape=runs.state_changes
+    tiers = runs.state_tiers(ledger.spark, f"{folder}/out")
+    runs.to_tiers(
+        moves, tiers, f"{folder}/checkpoint", available_now=True, shape=lambda batch, _: runs.state_changes(batch)
     ).awaitTermination()
-    return runs.current_states(ledger.spark, f"{folder}/out")
+    return runs.current_states(tiers)
 
 
 query(

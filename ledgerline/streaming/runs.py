@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ledgerline.operators.maintain import counter_rollup
-from ledgerline.sources.snapshots import SnapshotStore
+from ledgerline.streaming.tiers import FAN, Tiers
 
 
 def _started(writer: DataStreamWriter, checkpoint: str, available_now: bool, interval: str) -> StreamingQuery:
@@ -43,34 +43,68 @@ def to_batches(
     return _started(results.writeStream.outputMode(mode).foreachBatch(write), checkpoint, available_now, interval)
 
 
-def rollup_stream(
-    deltas: DataFrame,
-    store: SnapshotStore,
-    base_version: int,
+def to_tiers(
+    results: DataFrame,
+    tiers: Tiers,
     checkpoint: str,
+    mode: str = "append",
     available_now: bool = False,
-    interval: str = "5 minutes",
-    first_id: int = 0,
+    interval: str = "1 minute",
+    shape: Callable[[DataFrame, int], DataFrame] = lambda batch, _: batch,
 ) -> StreamingQuery:
-    """Counter rollup of a delta stream ``(id, key, value, expireat)`` into the snapshots of ``store``; new keys
-    are numbered as in ``counter_rollup``.
+    """Add every micro-batch to ``tiers``; a replayed batch overwrites itself."""
+    writer = results.writeStream.outputMode(mode)
+    return _started(writer.foreachBatch(lambda batch, n: tiers.add(shape(batch, n), n)), checkpoint, available_now, interval)
+
+
+def counter_tiers(spark: SparkSession, path: str, fan: int = FAN) -> Tiers:
+    """Sums per key of a delta stream. A key keeps the lowest id of its first batch and takes the expiry of its last."""
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(
+            F.min_by("id", "first").alias("id"),
+            F.sum("value").alias("value"),
+            F.max_by("expireat", "last").alias("expireat"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+        )
+
+    return Tiers(spark, path, "key string, id bigint, value bigint, expireat timestamp_ntz, first bigint, last bigint", merge, fan)
+
+
+def rollup_stream(
+    deltas: DataFrame, tiers: Tiers, checkpoint: str, available_now: bool = False, interval: str = "5 minutes"
+) -> StreamingQuery:
+    """Counter rollup of a delta stream ``(id, key, value, expireat)`` into ``counter_tiers``: a micro-batch writes one
+    row per key that it holds, however many keys there are."""
+
+    def sums(batch: DataFrame, number: int) -> DataFrame:
+        return batch.groupBy("key").agg(
+            F.min("id").alias("id"),
+            F.sum("value").alias("value"),
+            F.max("expireat").alias("expireat"),
+            F.lit(number).cast("bigint").alias("first"),
+            F.lit(number).cast("bigint").alias("last"),
+        )
+
+    return to_tiers(deltas, tiers, checkpoint, "append", available_now, interval, sums)
+
 
-    Micro-batch n publishes version ``base_version + 1 + n``. A replayed batch finds its version
-    published and does nothing, so no delta counts twice.
-    """
+def rolled_counters(base: DataFrame, tiers: Tiers, first_id: int = 0) -> DataFrame:
+    """The rolled-up counters after all batches of ``rollup_stream``, from those before the first one. New keys are
+    numbered as in ``counter_rollup``."""
+    rolled, _ = counter_rollup(tiers.read(), base, first_id)
+    return rolled
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        version = base_version + 1 + batch_id
-        if not store.is_published(version):
-            rolled, _ = counter_rollup(batch, store.read("aggregatedcounter", version - 1), first_id)
-            store.publish({"aggregatedcounter": rolled}, version)
 
-    return _started(deltas.writeStream.foreachBatch(merge), checkpoint, available_now, interval)
+def state_tiers(spark: SparkSession, path: str, fan: int = FAN) -> Tiers:
+    """Latest state per job of all batches of ``state_changes``."""
+    return Tiers(spark, path, "jobid bigint, seq bigint, name string", state_changes, fan)
 
 
 def state_changes(changes: DataFrame) -> DataFrame:
     """Latest state per job of a batch of changes ``(seq, jobid, name)``: the jobs that moved. Changes of one job
-    are combined before the shuffle. ``current_states`` merges batches by ``seq``, so no state is kept."""
+    are combined before the shuffle. Batches are merged by ``seq``, so no state is kept."""
     return (
         changes.groupBy("jobid")
         .agg(F.max(F.struct("seq", "name")).alias("latest"))
@@ -78,10 +112,9 @@ def state_changes(changes: DataFrame) -> DataFrame:
     )
 
 
-def current_states(spark: SparkSession, path: str) -> DataFrame:
-    """Current state per job from the batches of ``state_changes``; none before the first batch."""
-    moves = spark.read.schema("jobid bigint, seq bigint, name string").parquet(path)
-    return moves.groupBy("jobid").agg(F.max("seq").alias("seq"), F.max_by("name", "seq").alias("statename"))
+def current_states(tiers: Tiers) -> DataFrame:
+    """Current state per job from ``state_tiers``; none before the first batch."""
+    return tiers.read().select("jobid", "seq", F.col("name").alias("statename"))
 
 
 def new_work(batch: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ import pytest
 from conftest import tuples
 
 from ledgerline.operators.maintain import counter_rollup
-from ledgerline.sources.snapshots import SnapshotStore
 from ledgerline.streaming import runs, timelines, timers
 
 NOW = datetime(2024, 5, 1, 12)
@@ -46,17 +45,59 @@ def test_rollup_equals_batch_and_survives_replay(spark, frame, stream, tmp_path)
     batches = [[(10 * b + i, f"k{i % 3}", i, at(b) if i % 2 else None) for i in range(6)] for b in range(3)]
     start = frame([(1000, "k0", 5, NOW)], COUNTER)
     deltas = stream(batches, COUNTER)
+    tiers = runs.counter_tiers(spark, str(tmp_path / "tiers"), fan=2)
 
     def run(checkpoint):
-        runs.rollup_stream(deltas, store, base, str(tmp_path / checkpoint), available_now=True).awaitTermination()
-        return {r.key: r.value for r in store.read("aggregatedcounter").collect()}
-
-    store = SnapshotStore(spark, str(tmp_path / "store"))
-    base = store.publish({"aggregatedcounter": start})
-    want, _ = counter_rollup(frame([row for batch in batches for row in batch], COUNTER), start)
-    assert run("first") == {r.key: r.value for r in want.collect()}
-    # The same batches again, as after a lost checkpoint, find their versions published.
-    assert run("second") == {r.key: r.value for r in want.collect()}
+        runs.rollup_stream(deltas, tiers, str(tmp_path / checkpoint), available_now=True).awaitTermination()
+        return sorted(tuples(runs.rolled_counters(start, tiers, 500)))
+
+    want = start
+    for batch in batches:
+        want, _ = counter_rollup(frame(batch, COUNTER), want, 500)
+    assert run("first") == sorted(tuples(want))
+    # The same batches again, as after a lost checkpoint, overwrite themselves.
+    assert run("second") == sorted(tuples(want))
+
+
+def test_batches_lie_in_few_folders(spark, frame, tmp_path):
+    """Any number of batches is covered by a logarithmic number of folders, at any moment and after a replay."""
+    tiers = runs.state_tiers(spark, str(tmp_path / "tiers"), fan=3)
+    assert tiers.folders() == [] and tuples(tiers.read()) == []
+    latest = {}
+    for n in range(20):
+        rows = [(j, 10 * n + j, f"s{n}") for j in range(10) if (n + j) % 4 == 0]
+        latest |= {j: (j, seq, name) for j, seq, name in rows}
+        batch = frame(rows, "jobid LONG, seq LONG, name STRING").coalesce(1)
+        tiers.add(batch, n)
+        if n in (8, 12):
+            tiers.add(batch, n)
+        digits, left = 0, n + 1
+        while left:
+            left, digit = divmod(left, 3)
+            digits += digit
+        assert len(tiers.folders()) == digits
+        if n in (0, 7, 8, 9, 13, 19):
+            assert sorted(tuples(tiers.read())) == sorted(latest.values())
+    kept = {p.name for p in (tmp_path / "tiers").iterdir()}
+    assert "2-8" in kept and "1-8" in kept and "0-8" not in kept
+
+
+def test_an_unfinished_folder_is_not_read(spark, frame, tmp_path):
+    tiers = runs.state_tiers(spark, str(tmp_path / "tiers"), fan=2)
+    for n in range(2):
+        tiers.add(frame([(n, n, "s")], "jobid LONG, seq LONG, name STRING"), n)
+    assert [f.rsplit("/", 1)[1] for f in tiers.folders()] == ["1-1"]
+    (tmp_path / "tiers" / "1-1" / "_SUCCESS").unlink()  # as if the merge had died
+    assert [f.rsplit("/", 1)[1] for f in tiers.folders()] == ["0-0", "0-1"]
+
+
+def test_a_micro_batch_writes_its_own_keys_only(spark, frame, stream, tmp_path):
+    """What a batch writes does not depend on how many keys came before."""
+    batches = [[(i, f"k{i}", 1, None) for i in range(5000)], [(6000, "k1", 1, None)], [(6001, "new", 1, None)]]
+    tiers = runs.counter_tiers(spark, str(tmp_path / "tiers"))
+    runs.rollup_stream(stream(batches, COUNTER), tiers, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    sizes = [spark.read.parquet(str(tmp_path / "tiers" / f"0-{n}")).count() for n in range(3)]
+    assert sizes == [5000, 1, 1]
 
 
 def test_timeline_drops_and_counts_late_rows(spark, stream, emitted):
@@ -91,9 +132,9 @@ def test_silence_is_reported_once_per_gap(stream, emitted):
 def test_job_states_follow_the_log_across_batches(spark, stream, tmp_path):
     batches = [[(1, 7, "A"), (3, 7, "C"), (2, 8, "B")], [(5, 8, "E"), (4, 7, "D")], [(0, 9, "Z"), (2, 7, "late")]]
     changes = runs.state_changes(stream(batches, "seq LONG, jobid LONG, name STRING"))
-    out = str(tmp_path / "out")
-    runs.to_batches(changes, out, str(tmp_path / "checkpoint"), "update", available_now=True).awaitTermination()
-    assert sorted(tuples(runs.current_states(spark, out))) == [(7, 4, "D"), (8, 5, "E"), (9, 0, "Z")]
+    tiers = runs.state_tiers(spark, str(tmp_path / "tiers"))
+    runs.to_tiers(changes, tiers, str(tmp_path / "checkpoint"), "update", available_now=True).awaitTermination()
+    assert sorted(tuples(runs.current_states(tiers))) == [(7, 4, "D"), (8, 5, "E"), (9, 0, "Z")]
 
 
 LEASE = "seq LONG, id LONG, ts TIMESTAMP, op STRING"
