@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from ledgerline.operators import maintain
+from pyspark.sql import DataFrame
+
+from ledgerline.operators import expiry, maintain
 from ledgerline.plans.apply_queries import FIRST_ID
 from ledgerline.plans.mapping import ASOF_EVENTS, ASOF_JOBS, Ledger
 from ledgerline.plans.registry import query
@@ -44,6 +46,16 @@ for _table in EXPIRING_TABLES:
         f"SELECT {_columns} FROM ll_{_table} WHERE (expireat < {{TS:{CLOCKS[_table]}}}) IS NOT TRUE",
     )(lambda ledger, table=_table: maintain.purge(ledger[table].select(*SCHEMAS[table].names), CLOCKS[table]))
 
+
+
+@query("purge_job_by_month", f"SELECT {', '.join(SCHEMAS['job'].names)} FROM ll_job WHERE (expireat < {{TS:{CLOCKS['job']}}}) IS NOT TRUE")
+def _purge_by_month(ledger: Ledger) -> DataFrame:
+    path, schema = new_folder(ledger.spark), SCHEMAS["job"]
+    expiry.write_by_expiry(ledger["job"].select(*schema.names), path, unit="month")
+    expiry.purge_by_expiry(ledger.spark, path, schema, CLOCKS["job"], "month")
+    return expiry.read_by_expiry(ledger.spark, path, schema).drop(expiry.DAY)
+
+
 query(
     "purge_summary",
     "\nUNION ALL\n".join(
