@@ -11,23 +11,35 @@ settled. If exactly one open transaction decides it, and the same one all other
 the verdict is that one's or its opposite, and such verdicts are passed on by pointer doubling: rounds grow with the
 logarithm of a chain. Only a transaction that waits for several open ones at once waits for the next round. The earliest
 open one never waits, and what is decided is dropped. Verdicts of arbitrary conflicts cannot all be had in
-logarithmic rounds: picking the first non-conflicting ones in order is a P-complete problem.
+logarithmic rounds: picking the first non-conflicting ones in order is a P-complete problem. So as soon as a round leaves
+more than an eighth open, the rest is replayed in blocks of transactions, in order, one task after another. What a block
+leaves behind of a member or a key goes to the next block that touches it, so every row is read once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.ranking import BUCKET_WIDTH, carry_latest
 from ledgerline.operators import apply, lists
 from ledgerline.operators.keys import group
-from ledgerline.session import stored
+from ledgerline.session import new_folder, stored
 
 UNKNOWN_JOB, EXISTING_MEMBER = "unknown job", "existing member"
 # Before every transaction; a member of the snapshot was added one later.
 NEVER = -(1 << 63)
 STATE_OPS = ("set_state", "add_state")
+# About so many rows are replayed by one task.
+BLOCK_ROWS = 1 << 19
+# A line of a block: what happens to a member (item) or to a key (no item), by transaction ``txn``; or, without
+# ``txn``, the next block that touches it.
+_LINE = "key string, item string, txn bigint, asks boolean, there boolean, open boolean, next int"
+_LEFT = "key string, item string, txn bigint, there boolean, dest int"
+_LOST = -1
 
 
 def unknown_job_transactions(job: DataFrame, commands: DataFrame) -> DataFrame:
@@ -176,14 +188,94 @@ def _doubled(pointers: DataFrame) -> tuple[DataFrame, int]:
             return pointers, steps
 
 
+def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One block, transaction by transaction: those that do not hold (``dest`` = -1), and what is left to later blocks."""
+    state: dict[tuple, tuple[int, bool]] = {}  # last transaction on a member, or on a key's removal, and whether it is there
+    touched, log = [], []
+    for batch in batches:
+        for key, item, txn, asks, there, open_, next_ in zip(*[column.to_pylist() for column in batch.columns]):
+            place = (key, item)
+            if txn is None:
+                touched.append((place, next_))
+            elif open_ is None:
+                state[place] = (txn, there)
+            else:
+                log.append((txn, place, asks, there, open_))
+    log.sort(key=lambda line: line[0])
+    lost, at, never = [], 0, (NEVER, False)
+    while at < len(log):
+        txn, end, holds = log[at][0], at, True
+        while end < len(log) and log[end][0] == txn:
+            _, place, asks, _, open_ = log[end]
+            if open_ and asks:
+                last, there = state.get(place, never)
+                holds = holds and not (there and last >= state.get((place[0], None), never)[0])
+            end += 1
+        if holds:
+            state.update((line[1], (txn, line[3])) for line in log[at:end])
+        else:
+            lost.append(txn)
+        at = end
+    left = [(*place, *state[place], next_) for place, next_ in touched if next_ is not None and place in state]
+    rows = [(None, None, txn, None, _LOST) for txn in lost] + left
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int32())
+    columns = zip(*rows) if rows else [()] * len(kinds)
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["key", "item", "txn", "there", "dest"])
+
+
+def _in_blocks(histories: DataFrame, removals: DataFrame, open_txns: DataFrame, block_rows: int) -> DataFrame:
+    """Open transactions that do not hold, by replay in blocks of about ``block_rows`` rows."""
+    spark = histories.sparkSession
+    mark = open_txns.withColumn("open", F.lit(True))
+    asked = group(histories.where("asks").join(open_txns, "txn", "left_semi"), "key", "item").agg(F.count(F.lit(1))).select("_by.*")
+    keys = group(asked, "key").agg(F.count(F.lit(1))).select("_by.key")
+    base = F.col("txn") == NEVER + 1
+    members = histories.join(asked, ["key", "item"], "left_semi").select("key", "item", "txn", "asks", "there")
+    cleared = removals.join(keys, "key", "left_semi").select(
+        "key", F.lit(None).cast("string").alias("item"), "txn", F.lit(False).alias("asks"), F.lit(False).alias("there")
+    )
+    rows = stored(members.unionByName(cleared).join(mark, "txn", "left").withColumn("open", F.coalesce("open", F.lit(False))))
+    log = rows.where(~base)
+    blocks = -(-log.count() // block_rows)
+    # The bounds need not be exact, only the same for all.
+    cuts = sorted({int(c) for c in log.approxQuantile("txn", [i / blocks for i in range(1, blocks)], 0.25 / blocks)}) if blocks > 1 else []
+    bounds = F.array(*[F.lit(c).cast("bigint") for c in cuts]) if cuts else F.array().cast("array<bigint>")
+    block = F.size(F.filter(bounds, lambda c: c < F.col("txn")))
+    log = stored(log.withColumn("block", block))
+    # One line per member, or key, and block that touches it; members of the snapshot come before the first.
+    touches = log.where("item IS NOT NULL").select("key", "item", "block")
+    starts = rows.where(base).select("key", "item", F.lit(-1).alias("block"))
+    of_keys = log.select("key", F.lit(None).cast("string").alias("item"), "block")
+    places = group(touches.unionByName(starts).unionByName(of_keys), "key", "item", "block").agg(F.count(F.lit(1))).select("_by.*")
+    following = stored(places.withColumn("next", F.lead("block").over(Window.partitionBy("key", "item").orderBy("block"))))
+    left, lines = new_folder(spark), new_folder(spark)
+    following.where("block = -1 AND next IS NOT NULL").select(
+        "key", "item", F.lit(NEVER + 1).cast("bigint").alias("txn"), F.lit(True).alias("there"), F.col("next").alias("dest")
+    ).write.partitionBy("dest").parquet(f"{left}/block=-1")
+    log.unionByName(following.where("block >= 0"), allowMissingColumns=True).repartition("block").write.partitionBy("block").parquet(lines)
+    for number in range(len(cuts) + 1):
+        lines_of = spark.read.schema(_LINE + ", block int").parquet(lines).where(F.col("block") == number)
+        handed = spark.read.schema(_LEFT + ", block int").parquet(left).where(F.col("dest") == number)
+        columns = [column.split()[0] for column in _LINE.split(", ")]
+        together = lines_of.select(*columns).unionByName(handed.select("key", "item", "txn", "there"), allowMissingColumns=True)
+        replayed = together.select(*columns).coalesce(1).mapInArrow(_replay, _LEFT)
+        replayed.write.partitionBy("dest").parquet(f"{left}/block={number}")
+    return spark.read.schema(_LEFT + ", block int").parquet(left).where(F.col("dest") == _LOST).select("txn")
+
+
 def void_transactions(
-    job: DataFrame | None, sets: DataFrame, commands: DataFrame, width: int = BUCKET_WIDTH, rounds: list[int] | None = None
+    job: DataFrame | None,
+    sets: DataFrame,
+    commands: DataFrame,
+    width: int = BUCKET_WIDTH,
+    rounds: list[int] | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``txn_id, reason`` of the transactions of ``commands`` that are void.
 
     Commands are ``(txn_id, seq, op, key, item)`` on sets (op insert, add, add_score, remove, remove_key; others are
     ignored) and, if ``job`` is given, ``jobid``. Transactions follow each other by ``txn_id`` and must not interleave in
-    ``seq``. ``rounds`` gets the number of doubling steps of each round.
+    ``seq``. ``rounds`` gets the number of doubling steps of each round; what a round leaves is replayed in blocks of about ``block_rows`` rows.
     """
     on_sets = commands.where("key IS NOT NULL")
     if job is None:
@@ -198,7 +290,8 @@ def void_transactions(
     histories = histories.join(clash, "txn", "left_anti")
     removals = removals.join(clash, "txn", "left_anti")
     open_txns = stored(group(histories.where("asks"), "txn").agg(F.count(F.lit(1))).select("_by.txn"))
-    while not open_txns.isEmpty():
+    waiting = open_txns.count()
+    while waiting:
         answers, histories = _answers(histories, removals, open_txns, width)
         ends, steps = _doubled(stored(_pointers(answers)))
         decided = stored(ends.where("var IS NULL"))
@@ -209,6 +302,10 @@ def void_transactions(
         histories = histories.join(lost, "txn", "left_anti")
         removals = stored(removals.join(lost, "txn", "left_anti"))
         open_txns = stored(open_txns.join(decided, "txn", "left_anti"))
+        before, waiting = waiting, open_txns.count()
+        if waiting > before // 8:
+            void = void.unionByName(_in_blocks(histories, removals, open_txns, block_rows))
+            break
     return unknown.select("txn_id", F.lit(UNKNOWN_JOB).alias("reason")).unionByName(
         void.select(F.col("txn").alias("txn_id"), F.lit(EXISTING_MEMBER).alias("reason"))
     )

@@ -107,6 +107,21 @@ def test_many_ask_for_one_member(spark, frame):
     assert failed.count() == 4999 and after.count() == 1 and sum(rounds) <= 4
 
 
+def test_conflicts_of_several_are_replayed_in_blocks(frame):
+    """Transactions that wait for several others need one round, however deep their conflicts are."""
+    rng = random.Random(9)
+    keys, items = ["k", "l", "m"], [f"v{i}" for i in range(6)]
+    start = {(k, v): 1.0 for k in keys for v in items if rng.random() < 0.4}
+    ops = ["insert"] * 6 + ["add", "remove", "remove", "remove", "remove", "remove_key"]
+    log = [(t, 10 * t + n, rng.choice(keys), rng.choice(items), rng.choice(ops), 0.0) for t in range(400) for n in range(3)]
+    commands = frame([(*c, None) for c in log], RANGE + ", op STRING, score DOUBLE, expire_at TIMESTAMP")
+    for block_rows in (1 << 19, 150):
+        rounds = []
+        void = transactions.void_transactions(None, sets(frame, start), commands, rounds=rounds, block_rows=block_rows)
+        lost = [r.txn_id for r in void.collect()]
+        assert sorted(lost) == sorted(replay(start, log)[1]) and len(rounds) == 1
+
+
 def command(txn, seq, target, op, **rest):
     given = {"txn_id": txn, "seq": seq, "target": target, "op": op, "ts": NOW, "score": 0.0, **rest}
     return tuple(given.get(field) for field in FIELDS)
