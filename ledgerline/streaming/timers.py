@@ -152,9 +152,9 @@ class _Timed(StatefulProcessor):
             expired, state = self.step(key, state, entry)
             seen = max(seen, entry[1])
             yield from expired
-        # Only an entry that still waits can decide otherwise on an expiry that the watermark has passed.
-        end, earliest = self.end(state), waiting.earliest()
-        if end is not None and _millis_after(end) <= now and not (earliest is not None and earliest <= end):
+        # The next entry in the order of ``seq`` lies beyond the watermark, as does all that can still arrive before it.
+        end, following = self.end(state), waiting.next_time()
+        if end is not None and _millis_after(end) <= now and not (following is not None and following <= end):
             expired, state = self.lapse(key, state)
             yield from expired
             end = self.end(state)

@@ -112,3 +112,10 @@ def test_acknowledged_rows_are_forgotten_after_the_horizon(spark, stream, emitte
     rows = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     # All keys are remembered after the acknowledgements were settled, none once the horizon has passed.
     assert max(rows) >= 40 and rows[-1] < 10, (rows, kept[-1])
+
+
+def test_a_lease_ends_by_the_next_entry_of_the_log(spark, stream, emitted):  # noqa: F811
+    """The next entry by seq lies beyond the watermark; an earlier time behind it does not hold the expiry back."""
+    batches = [[(1, 1, at(0), "fetch"), (2, 1, at(200), "requeue"), (3, 1, at(10), "keep_alive")]]
+    results, _ = emitted(timers.lease_stream(stream(batches, LEASE), HALF_HOUR))
+    assert tuples(results) == [(1, at(0), at(30))]
