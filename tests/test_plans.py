@@ -120,3 +120,30 @@ def test_few_commands_do_not_shuffle_the_snapshot(ledger, frame):
 def test_counter_sums_are_partial_before_the_shuffle(ledger):
     text = plan(collections.counter_value(ledger["counter"], ledger["aggregatedcounter"]))
     assert text.count("partial_sum") >= 1
+
+
+def _orders_and_lines(spark, folder, first):
+    """Three orders from ``first`` on; a line with two rows, one with the same row twice, and one without a part."""
+    day = "TIMESTAMP_NTZ '1998-01-01 00:00:00'"
+    lines = [(first, 1, 9, 9, "A"), (first, 2, 5, 1, "R"), (first, 2, 4, 7, "N"), (first + 1, 3, 2, 2, "R"), (first + 1, 3, 2, 2, "R"), (first + 2, 1, None, 3, "A")]
+    rows = spark.createDataFrame(lines, "l_orderkey LONG, l_linenumber INT, l_partkey LONG, l_suppkey LONG, l_returnflag STRING")
+    rows.selectExpr("*", "'O' AS l_linestatus", f"{day} AS l_shipdate").write.parquet(f"{folder}/lineitem.parquet")
+    orders = spark.range(first, first + 3).selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", f"{day} AS o_orderdate")
+    orders.write.parquet(f"{folder}/orders.parquet")
+
+
+def test_state_ids_of_many_orders_fit(spark, tmp_path):
+    """Order keys for which the formula of ids would leave 64 bits: rows keep ids of their own, in the same order."""
+    found = {}
+    for first in (7, 11_529_200, 53_999_997):
+        _orders_and_lines(spark, f"{tmp_path}/{first}", first)
+        mapped = Ledger(spark, f"{tmp_path}/{first}")
+        states = sorted(tuple(r) for r in mapped["state"].select("jobid", "id", "name").collect() if r.id is not None)
+        jobs = {r.id - first: (r.stateid, r.statename) for r in mapped["job"].select("id", "stateid", "statename").collect()}
+        assert len(states) == 5 and len({s[1] for s in states}) == 4 and [s[1] for s in states] == sorted(s[1] for s in states)
+        assert jobs[0] == states[2][1:] and jobs[1] == states[4][1:]
+        found[first] = [s[1] for s in states], [(s[0] - first, s[2]) for s in states]
+    assert found[53_999_997][1] == found[11_529_200][1] == found[7][1]
+    for first in (7, 11_529_200):
+        assert found[first][0] == [((o * 8 + n) * 10**6 + p) * 10**5 + s for o, n, p, s in
+                                   [(first, 1, 9, 9), (first, 2, 4, 7), (first, 2, 5, 1), (first + 1, 3, 2, 2), (first + 1, 3, 2, 2)]]
